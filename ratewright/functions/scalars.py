@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: the characters a string strip removes.
-WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85   　"
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
 
 # Fixed value: content-delivery hosts and the storage host behind them.
 HOST_ALIASES = {"uhc-tic-mrf.azureedge.net": "mrfstorageprod.blob.core.windows.net"}
