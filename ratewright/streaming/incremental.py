@@ -21,7 +21,8 @@ LISTING = T.StructType(
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
     """Stream of the files in a folder; their contents are pruned from the scan."""
-    return spark.readStream.format("binaryFile").schema(LISTING).load(landing).select("path", "length")
+    reader = spark.readStream.format("binaryFile").schema(LISTING).option("recursiveFileLookup", True)
+    return reader.load(landing).select("path", "length")
 
 
 def load_incremental(

@@ -1,0 +1,31 @@
+"""Run queries against their SQL: python tests/check_all.py <folder> [name ...]"""
+
+import sys
+import time
+
+sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+
+import __spark_entry__ as E  # noqa: E402
+from oracle import connect, difference  # noqa: E402
+from ratewright.session import local_session  # noqa: E402
+
+
+def main(folder, names):
+    spark, con = local_session(8), connect(folder)
+    queries, sql = E.queries(), E.oracle_sql()
+    bad = 0
+    for name in names or queries:
+        started = time.time()
+        try:
+            df = queries[name](spark, folder)
+            problem = difference(df, con, sql[name]) if name in sql else f"(no SQL) {df.count()} rows"
+        except Exception as error:  # noqa: BLE001
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        if problem and not problem.startswith("(no SQL)"):
+            bad += 1
+        print(f"{name:28s} {time.time() - started:6.2f}s {problem or 'ok'}", flush=True)
+    print("bad:", bad)
+
+
+main(sys.argv[1], sys.argv[2:])
