@@ -57,8 +57,12 @@ def with_lineage(df: DataFrame, context: Mapping[str, str]) -> DataFrame:
 # ---------------------------------------------------------------- provider references
 
 
-def _groups(items: DataFrame, outer: bool) -> DataFrame:
-    """One row per (item, group), with the identifiers of the group cleaned."""
+def provider_rows(items: DataFrame, outer: bool = True) -> DataFrame:
+    """One row per (item, group, npi); null and empty identifiers do not count.
+
+    ``outer`` keeps a blank row for an item without groups and for a group without
+    identifiers.
+    """
     explode = F.explode_outer if outer else F.explode
     network = _joined(items, F.col("item.network_name"), "network_name")
     groups = items.select(
@@ -68,7 +72,9 @@ def _groups(items: DataFrame, outer: bool) -> DataFrame:
         network.alias("network_name"),
         explode("item.provider_groups").alias("g"),
     )
-    return groups.select(
+    npis = F.array_remove("g.npi", "")
+    # The greatest entry is null when there is none but nulls; such a group explodes as null.
+    exploded = groups.select(
         *KEY,
         "version",
         "provider_group_id",
@@ -76,20 +82,11 @@ def _groups(items: DataFrame, outer: bool) -> DataFrame:
         S.blank("g.tin.type").alias("tin_type"),
         S.blank("g.tin.value").alias("tin_value"),
         S.blank("g.tin.business_name").alias("business_name"),
-        S.filled(F.col("g.npi")).alias("npis"),
+        F.array_max(npis).isNull().alias("_none"),
+        explode(F.when(F.array_max(npis).isNotNull(), npis)).alias("npi"),
     )
-
-
-def provider_rows(items: DataFrame, outer: bool = True) -> DataFrame:
-    """One row per (item, group, npi).
-
-    ``outer`` keeps a blank row for an item without groups and for a group without
-    identifiers.
-    """
-    explode = F.explode_outer if outer else F.explode
-    groups = _groups(items, outer)
-    exploded = groups.withColumn("npi", explode("npis")).drop("npis")
-    return exploded.withColumn("npi", S.strip(S.blank("npi")))
+    kept = exploded.where(F.col("_none") | F.col("npi").isNotNull()).drop("_none")
+    return kept.withColumn("npi", S.strip(S.blank("npi")))
 
 
 def flatten_provider_references(
@@ -122,26 +119,40 @@ def matched_groups(items: DataFrame, targets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- negotiated prices
 
 
-def matching_items(items: DataFrame, groups: DataFrame) -> DataFrame:
-    """Items with the positions of the rates that refer to a matched group of their file.
+RATE_KEY = (*KEY, "rate_no")
+
+
+def numbered_rates(items: DataFrame) -> DataFrame:
+    """One row per rate, with its position in the item."""
+    return items.select("*", F.posexplode("item.negotiated_rates").alias("rate_no", "rate"))
+
+
+def matching_rates(items: DataFrame, groups: DataFrame) -> DataFrame:
+    """Keys of the rates that refer to a matched group of their file, each once.
 
-    Only identifiers and positions travel through the semi-join; the nested prices move
-    at most once, joined back by the element key.  A rate that matches through several
-    references counts once.
+    Only keys and references are read and moved.  The references of a rate meet in one task,
+    so those that match are reduced to one row before the shuffle.
     """
-    ids = F.transform(F.col("rate.provider_references"), lambda ref: S.safe_int(ref))
-    refs = (
-        items.select(*KEY, F.posexplode("item.negotiated_rates").alias("rate_no", "rate"))
-        .select(*KEY, "rate_no", F.explode(F.array_distinct(ids)).alias("provider_group_id"))
-        .where(F.col("provider_group_id").isNotNull())
-    )
+    refs = numbered_rates(items).select(*RATE_KEY, F.explode("rate.provider_references").alias("ref"))
+    refs = refs.select(*RATE_KEY, S.safe_int("ref").alias("provider_group_id"))
     groups = groups.select("source_pricing_file", "provider_group_id")
-    kept = (
-        refs.join(small_side(groups), ["source_pricing_file", "provider_group_id"], "left_semi")
-        .groupBy(*KEY)
-        .agg(F.collect_set("rate_no").alias("kept_rates"))
+    found = refs.where(F.col("provider_group_id").isNotNull()).join(
+        small_side(groups), ["source_pricing_file", "provider_group_id"], "left_semi"
     )
-    return items.join(kept, list(KEY))
+    return found.select(*RATE_KEY).distinct()
+
+
+def matched_rates(items: DataFrame, groups: DataFrame, work: str | None = None) -> DataFrame:
+    """Rates of :func:`matching_rates` with their prices.
+
+    With a ``work`` folder the keys are written there first and measured.  A selective filter
+    leaves few of them; they are then broadcast and the nested prices are not shuffled at all.
+    """
+    keys = matching_rates(items, groups)
+    if work is not None:
+        keys.write.mode("overwrite").parquet(work)
+        keys = small_side(items.sparkSession.read.schema(keys.schema).parquet(work))
+    return numbered_rates(items).join(keys, list(RATE_KEY), "left_semi")
 
 
 def _price_columns(df: DataFrame) -> dict[str, Column]:
@@ -160,21 +171,20 @@ def flatten_in_network(
     lineage: Mapping[str, str],
     groups: DataFrame | None = None,
     prefixes: Sequence[str] = (),
+    work: str | None = None,
 ) -> DataFrame:
     """Price table: one row per (item, rate, price).
 
     Without ``groups``: everything, with a blank row for an item without rates and for a
     rate without prices.  With ``groups`` (see :func:`matched_groups`): only rates that
     refer to a matched group of the same file and, with ``prefixes``, only items whose
-    code starts with one of them.
+    code starts with one of them; ``work`` is for :func:`matched_rates`.
     """
     if groups is None:
         rates = items.withColumn("rate", F.explode_outer("item.negotiated_rates"))
     else:
         items = items.where(P.code_matches(F.col("item.billing_code"), prefixes))
-        hits = matching_items(items, groups)
-        numbered = hits.select("*", F.posexplode("item.negotiated_rates").alias("rate_no", "rate"))
-        rates = numbered.where(F.array_contains("kept_rates", F.col("rate_no"))).drop("kept_rates", "rate_no")
+        rates = matched_rates(items, groups, work)
     item_fields = (*schemas.CODE_FIELDS, "negotiation_arrangement", "severity_of_illness")
     prices = rates.select(
         "source_pricing_file",

@@ -71,10 +71,8 @@ def price_with_provider(prices: DataFrame, providers: DataFrame) -> DataFrame:
     group id means nothing outside it.  Hot (file, group) keys are split by the adaptive
     skew join, which this shuffle join leaves room for.
     """
-    ids = F.array_distinct(
-        F.transform(F.split("provider_references", r"\|"), lambda ref: S.safe_int(ref))
-    )
-    exploded = prices.withColumn("provider_group_id", F.explode(F.filter(ids, lambda i: i.isNotNull())))
+    ids = F.array_distinct(S.safe_ints(F.split("provider_references", r"\|")))
+    exploded = prices.withColumn("provider_group_id", F.explode(ids)).where("provider_group_id IS NOT NULL")
     right = providers.select(
         "source_pricing_file",
         "provider_group_id",

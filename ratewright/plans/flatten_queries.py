@@ -39,7 +39,7 @@ def _header_sql(date: str) -> str:
 _PROVIDER_SQL = f"""
 base AS (
   SELECT {_file_sql("o_orderdate")} AS source_pricing_file, {_version_sql("o_orderdate")} AS version,
-         CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(floor(o_totalprice / 2000) AS BIGINT) END AS provider_group_id,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderkey // 4 AS BIGINT) END AS provider_group_id,
          o_orderpriority || CASE WHEN o_orderstatus = 'O' THEN '|O' ELSE '' END AS network_name,
          o_orderkey, o_custkey, o_orderstatus, (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') AS no_groups
   FROM orders),
@@ -65,7 +65,7 @@ lines AS (
   SELECT *, {_file_sql("l_shipdate")} AS source_pricing_file, {_header_sql("l_shipdate")},
          CAST(l_partkey AS VARCHAR) AS billing_code,
          CASE l_returnflag WHEN 'A' THEN 'CPT' WHEN 'R' THEN 'HCPCS' ELSE '' END AS billing_code_type,
-         CAST(floor(l_extendedprice / 420) AS BIGINT) AS grp,
+         CAST(l_orderkey // 4 AS BIGINT) AS grp,
          NOT (l_returnflag = 'N' AND l_tax = 0) AS has_rates
   FROM lineitem),
 prices AS (
@@ -155,6 +155,13 @@ def saved_groups(spark, folder):
     return writers.save_matched_groups(groups, fresh_folder(spark, "matched-groups"))
 
 
+def _filtered_prices(spark, folder, prefixes=()):
+    items, groups = views.price_items(spark, folder), saved_groups(spark, folder)
+    return flatten.flatten_in_network(
+        items, views.LINEAGE, groups, prefixes, fresh_folder(spark, "matched-rates")
+    )
+
+
 @query("price_flatten_full", f"WITH {_PRICE_SQL} SELECT {_PRICE_COLUMNS} FROM prices")
 def price_flatten_full(spark, folder):
     return flatten.flatten_in_network(views.price_items(spark, folder), views.LINEAGE)
@@ -165,9 +172,7 @@ def price_flatten_full(spark, folder):
     f"WITH {_PROVIDER_SQL}, {_PRICE_SQL} SELECT {_PRICE_COLUMNS} FROM prices p WHERE {_REF_MATCH}",
 )
 def price_flatten_filtered(spark, folder):
-    return flatten.flatten_in_network(
-        views.price_items(spark, folder), views.LINEAGE, saved_groups(spark, folder)
-    )
+    return _filtered_prices(spark, folder)
 
 
 @query(
@@ -175,9 +180,7 @@ def price_flatten_filtered(spark, folder):
     f"WITH {_PROVIDER_SQL}, {_PRICE_SQL} SELECT {_PRICE_COLUMNS} FROM prices p WHERE {_REF_MATCH} AND {_CODE_MATCH}",
 )
 def code_prefix(spark, folder):
-    return flatten.flatten_in_network(
-        views.price_items(spark, folder), views.LINEAGE, saved_groups(spark, folder), PREFIXES
-    )
+    return _filtered_prices(spark, folder, PREFIXES)
 
 
 _PROVIDER_TABLE_SQL = """SELECT source_pricing_file, provider_group_id, count(*) AS provider_rows,
@@ -220,10 +223,8 @@ def rates_by_code(spark, folder):
     grouped = providers.groupBy("source_pricing_file", "provider_group_id").agg(
         F.count_distinct("npi").alias("npis")
     )
-    prices = flatten.flatten_in_network(
-        views.price_items(spark, folder), views.LINEAGE, saved_groups(spark, folder)
-    )
-    ids = F.array_distinct(F.transform(F.split("provider_references", r"\|"), lambda r: S.safe_int(r)))
+    prices = _filtered_prices(spark, folder)
+    ids = F.array_distinct(S.safe_ints(F.split("provider_references", r"\|")))
     refs = prices.select(
         "source_pricing_file", "billing_code", "negotiated_rate", F.explode(ids).alias("provider_group_id")
     )

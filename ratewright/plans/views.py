@@ -28,12 +28,29 @@ def _text(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("string")
 
 
+def month_of(date: str) -> Column:
+    """Month as ``YYYY-MM``, in generated code."""
+    return F.concat(_text(F.year(date)), F.lit("-"), F.lpad(_text(F.month(date)), 2, "0"))
+
+
+def placed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with the place of each row in its files, spread over the cores.
+
+    A table of one small file is read by one task, and the views multiply its rows.  A
+    table that already has a task per core is left as it is scanned.
+    """
+    place = F.concat(F.col("_metadata.file_name"), F.lit(":"), F.col("_metadata.row_index"))
+    df = table(spark, folder, name).select("*", place.alias("ordinal"))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, "ordinal") if df.rdd.getNumPartitions() < cores else df
+
+
 def _document(date: str) -> dict[str, Column]:
     """File and header of an element: one rate file per month."""
-    month = F.date_format(date, "yyyy-MM")
+    month = month_of(date)
     return {
         "source_pricing_file": F.concat(F.lit("https://rates.example.com/"), month, F.lit("/in-network.json.gz")),
-        "reporting_entity_name": F.concat(F.lit("Entity "), F.date_format(date, "yyyy")),
+        "reporting_entity_name": F.concat(F.lit("Entity "), _text(F.year(date))),
         "reporting_entity_type": F.lit(None).cast("string"),
         "last_updated_on": F.concat(month, F.lit("-01")),
         "version": F.when(F.year(date) >= 1998, F.lit("2.0")),
@@ -43,16 +60,15 @@ def _document(date: str) -> dict[str, Column]:
 def _items(df: DataFrame, date: str, item: Column) -> DataFrame:
     """Items frame; an element is identified by the place of its row in the table's files."""
     columns = [c.alias(n) for n, c in _document(date).items()]
-    place = F.concat(F.col("_metadata.file_name"), F.lit(":"), F.col("_metadata.row_index"))
-    return df.select(*columns, place.alias("ordinal"), item.alias("item"))
+    return df.select(*columns, "ordinal", item.alias("item"))
 
 
 def provider_items(spark: SparkSession, folder: str) -> DataFrame:
     """One provider reference per order; group ids repeat within and across files."""
-    orders = table(spark, folder, "orders")
+    orders = placed(spark, folder, "orders")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     group_id = F.when(priority == "5-LOW", F.lit("n/a")).otherwise(
-        _text(F.floor(F.col("o_totalprice") / 2000).cast("bigint"))
+        _text(F.floor(F.col("o_orderkey") / 4).cast("bigint"))
     )
     network = F.array(priority, F.when(status == "F", F.lit("")).when(status == "O", status))
     customer = F.struct(
@@ -107,8 +123,8 @@ def _price(**values: Column) -> Column:
 
 def price_items(spark: SparkSession, folder: str) -> DataFrame:
     """One in-network item per order line, with up to two rates of up to two prices."""
-    line = table(spark, folder, "lineitem")
-    group = _text(F.floor(F.col("l_extendedprice") / 420).cast("bigint"))
+    line = placed(spark, folder, "lineitem")
+    group = _text(F.floor(F.col("l_orderkey") / 4).cast("bigint"))
     supplier = _text("l_suppkey")
     negotiated = _price(
         negotiated_type=F.lit("negotiated"),
@@ -157,7 +173,7 @@ def price_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def out_of_network_items(spark: SparkSession, folder: str) -> DataFrame:
     """One out-of-network item per order line."""
-    line = table(spark, folder, "lineitem")
+    line = placed(spark, folder, "lineitem")
     charged = F.struct(
         _text("l_extendedprice").alias("billed_charge"),
         F.array(_text("l_suppkey"), F.lit(None).cast("string"), _text("l_partkey")).alias("npi"),
@@ -188,9 +204,9 @@ def out_of_network_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def index_documents(spark: SparkSession, folder: str) -> DataFrame:
     """One index document per order: one or two plans, two or three files, one of them without place."""
-    orders = table(spark, folder, "orders")
+    orders = placed(spark, folder, "orders")
     none = F.lit(None).cast("string")
-    month = F.date_format("o_orderdate", "yyyy-MM")
+    month = month_of("o_orderdate")
     bucket = _text(F.floor(F.col("o_custkey") / 10).cast("bigint"))
     place = (
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("ppo_TX_"))
