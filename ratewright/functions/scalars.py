@@ -106,8 +106,8 @@ def safe_int(col: Column | str) -> Column:
 
 
 def safe_ints(array: Column | str) -> Column:
-    """Texts to bigints, element by element, as :func:`safe_int`."""
-    return _col(array).try_cast("array<bigint>")
+    """Texts to bigints as :func:`safe_int`; decimals are left out, other misfits give null."""
+    return F.filter(_col(array), lambda x: ~x.contains(".")).try_cast("array<bigint>")
 
 
 # ---------------------------------------------------------------- URLs

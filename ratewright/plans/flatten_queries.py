@@ -9,7 +9,7 @@ from ratewright.functions import scalars as S
 from ratewright.operators import audit, flatten, joins, selection
 from ratewright.plans import views
 from ratewright.plans.catalog import query
-from ratewright.session import fresh_folder
+from ratewright.session import fresh_folder, saved
 from ratewright.sources import lists, rate_files, writers
 from ratewright.streaming.incremental import load_incremental
 
@@ -404,11 +404,15 @@ def coalesce_blank(spark, folder):
 def _as_elements(items, section):
     """Element rows as a document scan gives them: JSON text, and one header row per file."""
     fields = ("source_pricing_file", "section", "ordinal", "element_json")
-    # The header of a file is on each of its rows; the least non-null values are that header.
-    header = items.groupBy("source_pricing_file").agg(
-        F.to_json(F.struct(*[F.max(name).alias(name) for name in schemas.HEADER_FIELDS])).alias("element_json")
+    # The header of a file is on each of its rows, so the distinct rows are one per file.
+    header = items.select("source_pricing_file", *schemas.HEADER_FIELDS).distinct()
+    header = header.withColumns(
+        {
+            "section": F.lit("header"),
+            "ordinal": F.lit(""),
+            "element_json": F.to_json(F.struct(*schemas.HEADER_FIELDS)),
+        }
     )
-    header = header.withColumns({"section": F.lit("header"), "ordinal": F.lit("")})
     body = items.withColumns({"section": F.lit(section), "element_json": F.to_json("item")})
     return header.select(*fields).unionByName(body.select(*fields))
 
@@ -564,7 +568,8 @@ def _select_sql(mode: str, matched: str, signal: str) -> str:
     }""",
 )
 def select_signal(spark, folder):
-    candidates, signals = _candidates(spark, folder), _signals(spark, folder)
+    candidates = saved(_candidates(spark, folder), "candidates")
+    signals = saved(_signals(spark, folder), "signals")
     parts = None
     for mode in selection.MODES:
         part = selection.select_files(candidates, signals, mode, max_bytes=45_000)
@@ -597,5 +602,5 @@ def run_counters(spark, folder):
         items,
         flatten.flatten_provider_references(references, views.LINEAGE, targets),
         groups,
-        flatten.flatten_in_network(items, views.LINEAGE, groups),
+        flatten.flatten_in_network(items, views.LINEAGE, groups, work=fresh_folder(spark, "matched-rates")),
     )

@@ -10,6 +10,7 @@ from ratewright.operators import discovery, flatten, joins, registry, selection,
 from ratewright.plans import views
 from ratewright.plans.catalog import query
 from ratewright.plans.flatten_queries import BRIDGE_SQL
+from ratewright.session import saved
 from ratewright.sources import lists, writers
 
 # ---------------------------------------------------------------- URLs
@@ -410,7 +411,7 @@ def providers(spark, folder):
 )
 def text_pregate(spark, folder):
     """Documents whose text holds a target; targets come from the texts that are not German."""
-    documents = views.table(spark, folder, "documents")
+    documents = views.placed(spark, folder, "documents")
     run = F.regexp_extract("text", "[0-9]{10}", 0)
-    targets = documents.where(F.col("lang") != "de").select(run.alias("npi"))
+    targets = saved(documents.where(F.col("lang") != "de").select(run.alias("npi")).distinct(), "targets")
     return selection.text_pregate(documents, targets, "doc_id")
