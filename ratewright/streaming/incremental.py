@@ -42,9 +42,7 @@ def load_incremental(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_files(
-            batch.sparkSession, batch.select("path"), root, ledger, work, lineage, f"stream-{batch_id}", **options
-        )
+        load_files(batch.sparkSession, batch, root, ledger, work, lineage, f"stream-{batch_id}", **options)
 
     query = (
         landed_files(spark, landing)
