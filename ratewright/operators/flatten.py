@@ -37,6 +37,16 @@ def _joined(df: DataFrame, value: Column, *path: str) -> Column:
     return S.joined(value, _field(df.schema["item"].dataType, *path))
 
 
+def _unnest(df: DataFrame, array: str, name: str, explode=F.explode) -> DataFrame:
+    """Explode an array column, which is then gone.
+
+    What else is needed of the level above is projected before: were the enclosing struct
+    carried along, each of its elements would hold a copy of all of them.
+    """
+    kept = [c for c in df.columns if c != array]
+    return df.select(*kept, explode(array).alias(name))
+
+
 def header_fields(df: DataFrame) -> DataFrame:
     """Document-level scalars, null as ''."""
     return df.withColumns({name: S.blank(F.col(name)) for name in schemas.HEADER_FIELDS})
@@ -65,16 +75,18 @@ def provider_rows(items: DataFrame, outer: bool = True) -> DataFrame:
     """
     explode = F.explode_outer if outer else F.explode
     network = _joined(items, F.col("item.network_name"), "network_name")
-    groups = items.select(
+    references = items.select(
         *KEY,
         "version",
         S.safe_int("item.provider_group_id").alias("provider_group_id"),
         network.alias("network_name"),
-        explode("item.provider_groups").alias("g"),
+        F.col("item.provider_groups").alias("_groups"),
     )
+    groups = _unnest(references, "_groups", "g", explode)
     npis = F.array_remove("g.npi", "")
     # The greatest entry is null when there is none but nulls; such a group explodes as null.
-    exploded = groups.select(
+    some = F.array_max(npis).isNotNull()
+    members = groups.select(
         *KEY,
         "version",
         "provider_group_id",
@@ -82,10 +94,11 @@ def provider_rows(items: DataFrame, outer: bool = True) -> DataFrame:
         S.blank("g.tin.type").alias("tin_type"),
         S.blank("g.tin.value").alias("tin_value"),
         S.blank("g.tin.business_name").alias("business_name"),
-        F.array_max(npis).isNull().alias("_none"),
-        explode(F.when(F.array_max(npis).isNotNull(), npis)).alias("npi"),
+        (~some).alias("_none"),
+        F.when(some, npis).alias("_npis"),
     )
-    kept = exploded.where(F.col("_none") | F.col("npi").isNotNull()).drop("_none")
+    rows = _unnest(members, "_npis", "npi", explode)
+    kept = rows.where(F.col("_none") | F.col("npi").isNotNull()).drop("_none")
     return kept.withColumn("npi", S.strip(S.blank("npi")))
 
 
@@ -120,11 +133,17 @@ def matched_groups(items: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 RATE_KEY = (*KEY, "rate_no")
+ITEM_FIELDS = (*schemas.CODE_FIELDS, "negotiation_arrangement", "severity_of_illness")
 
 
-def numbered_rates(items: DataFrame) -> DataFrame:
-    """One row per rate, with its position in the item."""
-    return items.select("*", F.posexplode("item.negotiated_rates").alias("rate_no", "rate"))
+def _item_rows(items: DataFrame) -> DataFrame:
+    """Item-level columns, with the rates as an array of their own."""
+    return items.select(
+        *KEY,
+        *schemas.HEADER_FIELDS,
+        *[S.blank(F.col(f"item.{name}")).alias(name) for name in ITEM_FIELDS],
+        F.col("item.negotiated_rates").alias("_rates"),
+    )
 
 
 def matching_rates(items: DataFrame, groups: DataFrame) -> DataFrame:
@@ -133,7 +152,8 @@ def matching_rates(items: DataFrame, groups: DataFrame) -> DataFrame:
     Only keys and references are read and moved.  The references of a rate meet in one task,
     so those that match are reduced to one row before the shuffle.
     """
-    refs = numbered_rates(items).select(*RATE_KEY, F.explode("rate.provider_references").alias("ref"))
+    rates = items.select(*KEY, F.posexplode("item.negotiated_rates.provider_references").alias("rate_no", "refs"))
+    refs = _unnest(rates, "refs", "ref")
     refs = refs.select(*RATE_KEY, S.safe_int("ref").alias("provider_group_id"))
     groups = groups.select("source_pricing_file", "provider_group_id")
     found = refs.where(F.col("provider_group_id").isNotNull()).join(
@@ -142,17 +162,24 @@ def matching_rates(items: DataFrame, groups: DataFrame) -> DataFrame:
     return found.select(*RATE_KEY).distinct()
 
 
-def matched_rates(items: DataFrame, groups: DataFrame, work: str | None = None) -> DataFrame:
+def matched_rates(
+    items: DataFrame, groups: DataFrame, work: str | None = None, key_items: DataFrame | None = None
+) -> DataFrame:
     """Rates of :func:`matching_rates` with their prices.
 
+    ``key_items`` may hold the same items read with codes and references only.
+
     With a ``work`` folder the keys are written there first and measured.  A selective filter
     leaves few of them; they are then broadcast and the nested prices are not shuffled at all.
     """
-    keys = matching_rates(items, groups)
+    keys = matching_rates(items if key_items is None else key_items, groups)
     if work is not None:
         keys.write.mode("overwrite").parquet(work)
         keys = small_side(items.sparkSession.read.schema(keys.schema).parquet(work))
-    return numbered_rates(items).join(keys, list(RATE_KEY), "left_semi")
+    rows = _item_rows(items)
+    kept = [c for c in rows.columns if c != "_rates"]
+    numbered = rows.select(*kept, F.posexplode("_rates").alias("rate_no", "rate"))
+    return numbered.join(keys, list(RATE_KEY), "left_semi").drop("rate_no")
 
 
 def _price_columns(df: DataFrame) -> dict[str, Column]:
@@ -172,27 +199,31 @@ def flatten_in_network(
     groups: DataFrame | None = None,
     prefixes: Sequence[str] = (),
     work: str | None = None,
+    key_items: DataFrame | None = None,
 ) -> DataFrame:
     """Price table: one row per (item, rate, price).
 
     Without ``groups``: everything, with a blank row for an item without rates and for a
     rate without prices.  With ``groups`` (see :func:`matched_groups`): only rates that
     refer to a matched group of the same file and, with ``prefixes``, only items whose
-    code starts with one of them; ``work`` is for :func:`matched_rates`.
+    code starts with one of them; ``work`` and ``key_items`` are for :func:`matched_rates`.
     """
     if groups is None:
-        rates = items.withColumn("rate", F.explode_outer("item.negotiated_rates"))
+        rates = _unnest(_item_rows(items), "_rates", "rate", F.explode_outer)
     else:
-        items = items.where(P.code_matches(F.col("item.billing_code"), prefixes))
-        rates = matched_rates(items, groups, work)
-    item_fields = (*schemas.CODE_FIELDS, "negotiation_arrangement", "severity_of_illness")
-    prices = rates.select(
+        wanted = P.code_matches(F.col("item.billing_code"), prefixes)
+        items = items.where(wanted)
+        if key_items is not None:
+            key_items = key_items.where(wanted)
+        rates = matched_rates(items, groups, work, key_items)
+    priced = rates.select(
         "source_pricing_file",
         *schemas.HEADER_FIELDS,
-        *[S.blank(F.col(f"item.{name}")).alias(name) for name in item_fields],
+        *ITEM_FIELDS,
         S.list_join("rate.provider_references").alias("provider_references"),
-        F.explode_outer("rate.negotiated_prices").alias("price"),
+        F.col("rate.negotiated_prices").alias("_prices"),
     )
+    prices = _unnest(priced, "_prices", "price", F.explode_outer)
     rows = header_fields(prices.withColumns(_price_columns(items)).drop("price"))
     return schemas.conform(with_lineage(rows, lineage), "tic_price")
 
@@ -203,27 +234,30 @@ def flatten_in_network(
 def flatten_out_of_network(items: DataFrame) -> DataFrame:
     """Out-of-network table: item, its allowed amounts (inner), payments and providers (outer)."""
     at = ("allowed_amounts",)
-    allowed = items.select(
+    coded = items.select(
         "source_pricing_file",
         *schemas.HEADER_FIELDS,
         *[S.blank(F.col(f"item.{name}")).alias(name) for name in schemas.CODE_FIELDS],
-        F.explode("item.allowed_amounts").alias("allowed"),
+        F.col("item.allowed_amounts").alias("_allowed"),
     )
-    payments = allowed.withColumns(
+    allowed = _unnest(coded, "_allowed", "allowed")
+    billed = allowed.withColumns(
         {
             "tin_type": S.blank("allowed.tin.type"),
             "tin_value": S.blank("allowed.tin.value"),
             "service_code": _joined(items, F.col("allowed.service_code"), *at, "service_code"),
             "billing_class": S.blank("allowed.billing_class"),
-            "payment": F.explode_outer("allowed.payments"),
+            "_payments": F.col("allowed.payments"),
         }
     ).drop("allowed")
-    providers = payments.withColumns(
+    payments = _unnest(billed, "_payments", "payment", F.explode_outer)
+    paid = payments.withColumns(
         {
             "allowed_amount": S.safe_float("payment.allowed_amount"),
-            "provider": F.explode_outer("payment.providers"),
+            "_providers": F.col("payment.providers"),
         }
     ).drop("payment")
+    providers = _unnest(paid, "_providers", "provider", F.explode_outer)
     rows = providers.withColumns(
         {
             "billed_charge": S.safe_float("provider.billed_charge"),
@@ -270,7 +304,7 @@ def flatten_index(docs: DataFrame, lineage: Mapping[str, str], block: int = PAIR
         .withColumn("files", F.slice("files", F.col("file_block") * block + 1, F.lit(block)))
         .repartition(tasks, "source_index_file", "structure_no", "plan_block", "file_block")
     )
-    pairs = blocks.withColumn("plan", F.explode("plans")).withColumn("file", F.explode("files"))
+    pairs = _unnest(_unnest(blocks, "plans", "plan"), "files", "file")
     plan_fields = ("plan_name", "plan_id", "plan_id_type", "plan_market_type", "issuer_name")
     rows = pairs.select(
         "source_index_file",

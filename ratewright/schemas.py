@@ -67,6 +67,17 @@ IN_NETWORK_ITEM = T.StructType(
     ]
 )
 
+# What the rate filter needs of an in-network item.
+IN_NETWORK_KEYS = T.StructType(
+    _strings("billing_code")
+    + [
+        T.StructField(
+            "negotiated_rates",
+            _list_of(T.StructField("provider_references", T.ArrayType(T.StringType()))),
+        )
+    ]
+)
+
 OUT_OF_NETWORK_ITEM = T.StructType(
     _strings(*CODE_FIELDS)
     + [
