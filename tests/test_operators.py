@@ -93,6 +93,13 @@ def test_invalid_modes():
         selection.check_mode("code_only", require_both=True)
 
 
+def test_only_state(spark):
+    urls = ["h/uhc_OK_1", "h/uhc-tx-ok_1", "h/UHC/Texas-Oklahoma", "h/uhc", "h/umr_TX_", "h/other"]
+    frame = spark.createDataFrame([(u,) for u in urls], "location string")
+    layers = selection.only_state("Texas", ("uhc", "umr"))
+    assert [r.location for r in frame.where(layers.condition("location")).collect()] == urls[1:5]
+
+
 def test_prefilter_leaves_out_done(spark):
     bridge = spark.createDataFrame(
         [("u1", "b|c", None), ("u1", "a|b", "E"), ("u2", None, None), ("", "x", "y"), (None, "x", "y")],
