@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,6 +35,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions that run there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="ratewright-"), "ratewright")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
