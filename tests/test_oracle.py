@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle import connect, difference
+from ratewright.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def con(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, small, con, name):
     assert name in E.oracle_sql()
     assert difference(E.queries()[name](spark, small), con, E.oracle_sql()[name]) is None
