@@ -1,0 +1,76 @@
+import hashlib
+import random
+import re
+
+from ratewright.llm import decontamination as D
+from ratewright.llm import queries
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def brute(docs, items, window=10):
+    """doc -> (words, hit words, items)."""
+    phrases = []
+    for item, text in items:
+        words = WORD.findall(lower(text))
+        n = min(window, len(words))
+        phrases += [(item, tuple(words[k : k + n])) for k in range(len(words) - n + 1)] if n else []
+    result = []
+    for doc, text in docs:
+        words, hit, found = WORD.findall(lower(text)), set(), set()
+        at = {}
+        for n in {len(p) for _, p in phrases}:
+            for k in range(len(words) - n + 1):
+                at.setdefault(tuple(words[k : k + n]), []).append(k)
+        for item, phrase in phrases:
+            for k in at.get(phrase, ()):
+                hit.update(range(k, k + len(phrase)))
+                found.add(item)
+        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        result.append((doc, len(words), len(hit), len(found), digest, bool(hit)))
+    return sorted(result, key=str)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_whole_table(spark, small):
+    docs = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
+    got = rows(queries.op6_find_benchmark(spark, small))
+    assert got == brute(docs, items)
+    assert any(r[5] for r in got)
+
+
+def test_random_words_in_blocks(spark):
+    pick = random.Random(5)
+    words = ["a", "b", "É1", "z9", "Q"]
+    text = lambda n: pick.choice([" ", ", ", "\n"]).join(pick.choice(words) for _ in range(n))
+    docs = [(i, text(pick.randint(0, 80))) for i in range(40)] + [(99, None), (98, ""), (7, "a b a"), (None, "a b")]
+    items = [(i, text(n)) for i, n in enumerate([0, 1, 2, 3, 5, 10, 11, 12, 30])] + [(20, None), (21, "A b"), (21, "a B"), (3, "q q")]
+    D_ = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, hits string").repartition(3)
+    I_ = spark.createDataFrame(items, "item_id long, text string")
+    expected = brute(docs, items, window=4)
+    assert rows(D.digests(D.find_passages(D_, I_, window=4))) == expected
+    assert rows(D.digests(D.find_passages(D_, I_, window=4, block_bytes=40))) == expected
+    assert rows(D.digests(D.find_passages(D_, I_.limit(0), window=4))) == brute(docs, [], 4)
+    assert D.find_passages(D_.limit(0), I_).count() == 0
+
+
+def test_candidates_in_steps(monkeypatch):
+    monkeypatch.setattr(D, "_STEP", 3)
+    phrases = D.Phrases([(1, b"a b c"), (2, b"c a b")], 3)
+    lengths, found = D._spans([b"a b c a b c", b"", b"b c a"], phrases, 3)
+    assert lengths.tolist() == [6, 0, 3]
+    assert found == [[(1, 0, 6), (2, 2, 3)], [], []]
+
+
+def test_near(spark):
+    docs = spark.createDataFrame([(1, "rare stuff then odd and more weird"), (2, "rare " + "x " * 60 + "odd weird"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "weird odd rare")], "item_id long, text string")
+    assert [tuple(r) for r in D.near_passages(docs, items, terms=3, span=10).collect()] == [(1, 5)]
