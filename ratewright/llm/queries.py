@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewright.llm import chat, decontamination, packing
+from ratewright.llm import chat, decontamination, language, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,3 +69,21 @@ def op4_format_chats(spark, folder):
 def op6_find_benchmark(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontamination.digests(decontamination.find_passages(docs, table(spark, folder, "benchmark")))
+
+
+@query("op8_detect_language")
+def op8_detect_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    return language.decisions(language.predict(docs, language.fit(docs)))
+
+
+@query("op9_score_toxicity")
+def op9_score_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.decisions(toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"))))
+
+
+@query("op10_rank_quality")
+def op10_rank_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality.decisions(quality.score(docs, quality.fit(docs, table(spark, folder, "labels"))))
