@@ -78,3 +78,58 @@ def checked(df: DataFrame, label: str) -> DataFrame:
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes that are hashed at once; cuts fall on white space.
+_HASHED = 2 << 20
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0x5851F42D4C957F2D
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2**64, and of its inverse."""
+    if len(_powers[0]) < size:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps)
+    return _powers[0][:size], _powers[1][:size]
+
+
+def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of ``data`` (which ends with white space), and where the words begin."""
+    raw = np.frombuffer(data, np.uint8)
+    space = _SPACE[raw]
+    begin = ~space
+    begin[1:] &= space[:-1]
+    starts = np.flatnonzero(begin)
+    end = space.copy()
+    end[0] = False
+    end[1:] &= ~space[:-1]
+    ends = np.flatnonzero(end)
+    power, inverse = _powers_to(len(raw))
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUE[raw] * power, out=total[1:])
+    value = (total[ends] - total[starts]) * inverse[starts]
+    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (``words_of``) of all texts in order, and the number of words of each text."""
+    data = b" ".join(texts).lower() + b" "
+    firsts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[: len(texts)]
+    found, begun, at = [], [], 0
+    while at < len(data):
+        cut = min(at + _HASHED, len(data))
+        while cut < len(data) and not _SPACE[data[cut - 1]]:
+            cut += 1
+        hashes, starts = _hashed(data[at:cut])
+        found.append(hashes)
+        begun.append(starts + at)
+        at = cut
+    hashes, starts = np.concatenate(found), np.concatenate(begun)
+    edges = np.searchsorted(starts, firsts)
+    return hashes, np.diff(np.concatenate([edges, [len(starts)]]))

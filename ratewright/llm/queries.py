@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewright.llm import chat, decontamination, language, packing, quality, toxicity
+from ratewright.llm import chat, decontamination, language, language_model, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +87,11 @@ def op9_score_toxicity(spark, folder):
 def op10_rank_quality(spark, folder):
     docs = table(spark, folder, "documents")
     return quality.decisions(quality.score(docs, quality.fit(docs, table(spark, folder, "labels"))))
+
+
+@query("op2_score_language_model")
+def op2_score_language_model(spark, folder):
+    docs = table(spark, folder, "documents")
+    train = language_model.training_rows(docs)
+    lex = language_model.lexicon(train)
+    return language_model.score(docs, lex, language_model.train(train, lex))

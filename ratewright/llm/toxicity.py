@@ -56,8 +56,9 @@ class CharacterModel:
     """Trigram log probabilities, and those of longer contexts within marked words."""
 
     corpus: np.ndarray
-    marked: dict[str, float] = field(default_factory=dict)
+    begun: dict[str, dict[str, float]] = field(default_factory=dict)
     share: float = 0.5
+    known: dict[tuple[str, str], float] = field(default_factory=dict)
 
     @classmethod
     def build(cls, counts: np.ndarray, words: dict[str, float]) -> CharacterModel:
@@ -73,14 +74,24 @@ class CharacterModel:
                 after.setdefault(word[:k], Counter())[char] += weight
         for begun, nexts in after.items():
             total = sum(nexts.values())
-            model.marked |= {begun + "\0" + char: n / total for char, n in nexts.items()}
+            model.begun[begun] = {char: n / total for char, n in nexts.items()}
         return model
 
-    def log(self, word: str, char: str) -> float:
-        """Log probability of ``char`` (a space ends the word) after the beginning ``word``."""
-        before = ("  " + word)[-2:]
-        plain = self.corpus[_code(before[0]), _code(before[1]), _code(char)]
-        return float(np.log((1 - self.share) * plain + self.share * self.marked.get(word + "\0" + char, 0.0)))
+    def state(self, text: str) -> str:
+        """All that later letters depend on: the word begun, if a marked word begins so, else its last two letters."""
+        word = text.rpartition(" ")[2]
+        return word if word in self.begun else " " + word[-2:]
+
+    def log(self, text: str, char: str) -> float:
+        """Log probability of ``char`` (a space ends the word) after ``text``."""
+        key = (self.state(text), char)
+        if key not in self.known:
+            word = key[0]
+            before = ("  " + word)[-2:]
+            plain = self.corpus[_code(before[0]), _code(before[1]), _code(char)]
+            marked = self.begun[word].get(char, 0.0) if word in self.begun else 0.0
+            self.known[key] = float(np.log((1 - self.share) * plain + self.share * marked))
+        return self.known[key]
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -108,27 +119,22 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return places
 
 
-def restore(token: str, model: CharacterModel, context: int = 12, width: int = 256) -> str:
-    """The likeliest word or words: Viterbi search with one best path for each of the last ``context`` letters.
-
-    Of more than ``width`` such ends, which only very long runs of look-alikes have, the best go on.
-    """
+def restore(token: str, model: CharacterModel) -> str:
+    """The likeliest word or words: Viterbi search with the best path to each state of the character model."""
     paths = {"": (0.0, "")}
     for options in lattice(token):
         reached: dict[str, tuple[float, str]] = {}
-        for score, word in paths.values():
+        for score, text in paths.values():
             for letters, cost in options:
-                total, longer = score + cost, word
+                total, longer = score + cost, text
                 for letter in letters:
-                    total += model.log(longer[-context:].rpartition(" ")[2], letter)
+                    total += model.log(longer, letter)
                     longer += letter
-                key = longer[-context:]
+                key = model.state(longer)
                 if key not in reached or (total, longer) > reached[key]:
                     reached[key] = (total, longer)
-        if len(reached) > width:
-            reached = dict(sorted(reached.items(), key=lambda x: (-x[1][0], x[0]))[:width])
         paths = reached
-    return max((score + model.log(word[-context:].rpartition(" ")[2], " "), word) for score, word in paths.values())[1]
+    return max((score + model.log(text, " "), text) for score, text in paths.values())[1]
 
 
 def plain_words(token: str, model: CharacterModel) -> list[str]:
