@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewright.llm import chat, decontamination, language, language_model, packing, quality, toxicity
+from ratewright.llm import chat, decontamination, jaccard, language, language_model, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,3 +95,8 @@ def op2_score_language_model(spark, folder):
     train = language_model.training_rows(docs)
     lex = language_model.lexicon(train)
     return language_model.score(docs, lex, language_model.train(train, lex))
+
+
+@query("op5_join_shingles")
+def op5_join_shingles(spark, folder):
+    return jaccard.join_texts(table(spark, folder, "documents"), words=4, percent=85)
