@@ -133,3 +133,34 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     hashes, starts = np.concatenate(found), np.concatenate(begun)
     edges = np.searchsorted(starts, firsts)
     return hashes, np.diff(np.concatenate([edges, [len(starts)]]))
+
+
+def most_frequent(counts: DataFrame, by: str, limit: int) -> DataFrame:
+    """The rows of highest ``by`` (1 or more), ``limit`` at most, without ranking rows one by one.
+
+    Values are grouped by 64 bins for each doubling; the highest bins that have no more rows together are taken.
+    """
+    binned = F.floor(F.log2(F.col(by)) * 64)
+    bins = sorted(counts.groupBy(binned.alias("bin")).count().collect(), key=lambda r: -r["bin"])
+    total, lowest = 0, None
+    for row in bins:
+        total += row["count"]
+        if total > limit:
+            break
+        lowest = row["bin"]
+    return counts.where(F.lit(False) if lowest is None else binned >= lowest)
+
+
+def with_columns(docs: DataFrame, source: str, added: str, begin: Callable) -> DataFrame:
+    """``docs`` with columns computed from batches of them; ``begin()`` gives the function, once for each task."""
+    names = [part.split()[0] for part in added.split(", ")]
+    docs = docs.drop(*names)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = begin()
+        for batch in batches:
+            for part in slices(batch, source):
+                yield pa.RecordBatch.from_arrays([*part.columns, *found(part)], names=[*part.schema.names, *names])
+
+    return map_arrow(docs, run, schema)

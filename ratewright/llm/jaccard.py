@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.common import checked, column, hashed_words, map_arrow, mix, slices, texts_of
+from ratewright.llm.common import checked, column, hashed_words, map_arrow, mix, most_frequent, slices, texts_of
 from ratewright.llm.graph import components
 
 WORDS, PERCENT = 5, 80
@@ -41,6 +41,8 @@ REGION_SETS, REGION_MEMBERS = 1024, 2_000_000
 PIVOTS = 8
 #: Slots of the bitmaps that are sent to all tasks, and the share of them that may be filled.
 SLOTS, FILLED = 1 << 25, 0.25
+#: N-grams that may be last in the order of all; the others go by hash. Any order gives the same links.
+LATE = 1 << 17
 _ALL = (1 << 64) - 1
 _ODD = [np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & _ALL) for k in range(1, 65)]
 
@@ -437,7 +439,8 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     read = checked(map_arrow(texts, _fingerprints(words), "doc_id long, size long, node long, times long"), "jaccard-sets")
     sets = read.where("size >= 0").select("doc_id", "size", "node")
-    often = read.where("size < 0").groupBy("node").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "node").limit(1 << 17).toArrow()
+    often = checked(read.where("size < 0").groupBy("node").agg(F.sum("times").alias("times")), "jaccard-often")
+    often = most_frequent(often, "times", LATE).toArrow()
     late, times = often["node"].to_numpy().view(np.uint64), often["times"].to_numpy()
     order = np.argsort(late)
     shared = spark.sparkContext.broadcast((late[order], np.log2(times[order] + 1).astype(np.int64) + 1))
@@ -468,3 +471,14 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     found = sets.where("size > 0").join(named, "node").select("doc_id", "size", "component")
     found = found.union(sets.where("size = 0").select("doc_id", "size", F.col("doc_id").alias("component")))
     return found.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` without near duplicates: of each component the document with the smallest id stays.
+
+    Rows of one id and text stay once, and so do rows of one text without id.
+    """
+    found = join_texts(docs.select("doc_id", "text"), words, percent)
+    staying = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    kept = docs.join(staying, docs["doc_id"].cast("long") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.common import column, crc_remainder, map_arrow, slices, texts_of
+from ratewright.llm.common import column, crc_remainder, map_arrow, slices, texts_of, with_columns
 from ratewright.llm.labelled import BOUND, labelled_texts
 
 #: The score at the cut; from it on a document is kept.
@@ -146,20 +146,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int
 
 
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
-    """``doc_id, score, worth`` of every row."""
+    """``docs`` with ``score`` and ``worth``, which replace columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(ranking)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                rows = np.array([features(t) for t in texts_of(part)]).reshape(-1, FEATURES)
-                keys = part.column(part.schema.get_field_index("doc_id"))
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(shared.value.score(rows)), pa.array(shared.value.worth(rows))],
-                    names=["doc_id", "score", "worth"],
-                )
-
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double, worth double")
+    def found(batch: pa.RecordBatch) -> list[pa.Array]:
+        rows = np.array([features(t) for t in texts_of(batch)]).reshape(-1, FEATURES)
+        return [pa.array(shared.value.score(rows)), pa.array(shared.value.worth(rows))]
+
+    return with_columns(docs, "text", "score double, worth double", lambda: found)
 
 
 def decisions(scored: DataFrame, modulus: int = 5, left_out: int = 0) -> DataFrame:

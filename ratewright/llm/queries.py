@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratewright.llm import chat, decontamination, jaccard, language, language_model, packing, quality, toxicity
+from ratewright.llm import chat, decontamination, embeddings, jaccard, language, language_model, licenses, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,13 +80,13 @@ def op8_detect_language(spark, folder):
 
 @query("op9_score_toxicity")
 def op9_score_toxicity(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return toxicity.decisions(toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"))))
 
 
 @query("op10_rank_quality")
 def op10_rank_quality(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.decisions(quality.score(docs, quality.fit(docs, table(spark, folder, "labels"))))
 
 
@@ -100,3 +101,29 @@ def op2_score_language_model(spark, folder):
 @query("op5_join_shingles")
 def op5_join_shingles(spark, folder):
     return jaccard.join_texts(table(spark, folder, "documents"), words=4, percent=85)
+
+
+@query("op1_link_vectors")
+def op1_link_vectors(spark, folder):
+    return embeddings.link_vectors(table(spark, folder, "embeddings"))
+
+
+_LICENCES_SQL = f"""
+WITH known(licence_id, text) AS (VALUES {", ".join("('" + i + "', '" + t.replace("'", "''") + "')" for i, t in licenses.KNOWN)}),
+texts AS (SELECT doc_id, text FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents),
+known_digests AS (SELECT sha256({licenses.canonical_sql("text")}) AS digest, min(licence_id) AS licence_id FROM known GROUP BY 1),
+quoted AS (SELECT doc_id, string_agg(DISTINCT licence_id, ',' ORDER BY licence_id) AS line_licences
+  FROM lines JOIN known_digests ON sha256({licenses.canonical_sql("lines.text")}) = digest GROUP BY doc_id)
+SELECT t.doc_id, t.digest, k.licence_id, coalesce(q.line_licences, '') AS line_licences
+FROM (SELECT doc_id, sha256({licenses.canonical_sql("text")}) AS digest FROM texts) t
+LEFT JOIN known_digests k ON k.digest = t.digest LEFT JOIN quoted q ON q.doc_id = t.doc_id"""
+
+
+@query("op7_scan_licences", _LICENCES_SQL)
+def op7_scan_licences(spark, folder):
+    docs, known = table(spark, folder, "documents").select("doc_id", "text"), licenses.known_table(spark)
+    quoted = licenses.scan_lines(docs, known).groupBy("doc_id").agg(
+        F.array_join(F.array_sort(F.collect_set("licence_id")), ",").alias("line_licences")
+    )
+    return licenses.scan(docs, known).join(quoted, "doc_id", "left").na.fill("", ["line_licences"])

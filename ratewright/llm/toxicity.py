@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.common import column, crc_remainder, map_arrow, slices, texts_of
+from ratewright.llm.common import column, crc_remainder, map_arrow, slices, texts_of, with_columns
 from ratewright.llm.labelled import BOUND, labelled_texts
 
 CUT = 0.3
@@ -315,22 +315,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
 
 
 def score(docs: DataFrame, marks: Marks) -> DataFrame:
-    """``doc_id, score, marked`` (the marked words of the restored text) of every row."""
+    """``docs`` with ``score`` and ``marked`` (the marks of the restored text), which replace columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def begin():
         own = shared.value
         restorer = Restorer(own.model, own.weights)
-        for batch in batches:
-            for part in slices(batch):
-                found = own.scores([t.decode() for t in texts_of(part)], restorer)
-                keys = part.column(part.schema.get_field_index("doc_id"))
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.list_(pa.string()))],
-                    names=["doc_id", "score", "marked"],
-                )
-
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double, marked array<string>")
+
+        def found(batch: pa.RecordBatch) -> list[pa.Array]:
+            rows = own.scores([t.decode() for t in texts_of(batch)], restorer)
+            return [pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.list_(pa.string()))]
+
+        return found
+
+    return with_columns(docs, "text", "score double, marked array<string>", begin)
 
 
 def decisions(scored: DataFrame, modulus: int = 4, left_out: int = 2) -> DataFrame:
