@@ -35,17 +35,11 @@ def _any(conditions: Iterable[Column]) -> Column:
     return F.lit(True) if result is None else result
 
 
-def clean_prefixes(prefixes: Sequence[str] | None) -> tuple[str, ...]:
-    return tuple(p.strip() for p in (prefixes or ()) if p.strip())
-
-
 def code_matches(code: Column | str, prefixes: Sequence[str] | None) -> Column:
     """The trimmed code starts with one of the prefixes; no prefixes let everything pass."""
-    prefixes = clean_prefixes(prefixes)
-    if not prefixes:
-        return F.lit(True)
+    filled = set(map(str.strip, prefixes or ())) - {""}
     trimmed = S.strip(S.blank(code))
-    return _any(trimmed.startswith(p) for p in prefixes)
+    return _any(trimmed.startswith(begin) for begin in sorted(filled))
 
 
 def _like_word(url: Column, word: str) -> Column:

@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 # Fixed value: the characters a string strip removes.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
 
-# Fixed value: content-delivery hosts and the storage host behind them.
-HOST_ALIASES = {"uhc-tic-mrf.azureedge.net": "mrfstorageprod.blob.core.windows.net"}
-
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
@@ -35,11 +32,6 @@ def blank(col: Column | str) -> Column:
     return F.coalesce(_col(col), F.lit(""))
 
 
-def first_filled(*cols: Column | str) -> Column:
-    """First value that is neither null nor empty; null when there is none."""
-    return F.coalesce(*[F.nullif(_col(c), F.lit("")) for c in cols])
-
-
 def sponsor_name(plan: Column) -> Column:
     """Sponsor of a plan: the right spelling when filled, else the misspelt key as it stands."""
     return F.coalesce(F.nullif(plan["plan_sponsor_name"], F.lit("")), plan["plan_sponser_name"])
@@ -187,17 +179,18 @@ def file_key(url: Column | str) -> Column:
     return F.substring(F.sha2(_col(url), 256), 1, 24)
 
 
-def parse_seed_url(url: Column | str, aliases: dict[str, str] = HOST_ALIASES, strict: bool = True) -> Column:
+def parse_seed_url(url: Column | str, aliases: dict[str, str] | None = None, strict: bool = True) -> Column:
     """Split a signed object URL into base_url, container, prefix and query parameters.
 
     ``params`` keeps the order of first appearance; of a repeated key the last value
-    counts.  A URL with fewer than two path parts is an error, or null when not strict.
+    counts.  ``aliases`` gives the host behind another one.  A URL with fewer than two path parts is
+    an error, or null when not strict.
     """
     url = _col(url)
     parts = F.filter(F.split(url_path(url), "/"), lambda p: p != "")
     authority = url_authority(url)
     host = authority
-    for alias, origin in aliases.items():
+    for alias, origin in (aliases or {}).items():
         host = F.when(F.lower(authority) == alias, F.lit(origin)).otherwise(host)
     folders = F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
     prefix = F.when(F.size(folders) > 0, F.concat(F.array_join(folders, "/"), F.lit("/"))).otherwise("")

@@ -118,8 +118,9 @@ def flatten_provider_references(
     elif not keep_full:
         rows = semi_npi(provider_rows(items, outer=False), targets, trimmed=True)
     else:
+        # Items are matched as items, and only those that match are unnested with all their columns.
         hits = semi_npi(provider_rows(items, outer=False).select(*KEY, "npi"), targets, trimmed=True)
-        rows = provider_rows(items, outer=False).join(hits.select(*KEY).distinct(), list(KEY), "left_semi")
+        rows = provider_rows(items.join(hits.select(*KEY), list(KEY), "left_semi"), outer=False)
     return schemas.conform(with_lineage(rows, lineage), "tic_provider_reference")
 
 
@@ -129,6 +130,12 @@ def matched_groups(items: DataFrame, targets: DataFrame) -> DataFrame:
     return semi_npi(rows, targets, trimmed=True).select("source_pricing_file", "provider_group_id").distinct()
 
 
+def groups_of(providers: DataFrame) -> DataFrame:
+    """Matched groups of a filtered provider table: whatever it holds has a target (or, kept full, its item has)."""
+    rows = providers.where(F.col("provider_group_id").isNotNull())
+    return rows.select("source_pricing_file", "provider_group_id").distinct()
+
+
 # ---------------------------------------------------------------- negotiated prices
 
 
@@ -295,13 +302,19 @@ def flatten_index(docs: DataFrame, lineage: Mapping[str, str], block: int = PAIR
         F.col("s.reporting_plans").alias("plans"),
         located.alias("files"),
     )
-    chunks = lambda name: F.sequence(F.lit(0), F.ceil(F.size(name) / block).cast("int") - 1)
+
+    def chunks(name: str) -> Column:
+        """The array in pieces of at most ``block`` entries."""
+        starts = F.sequence(F.lit(0), F.ceil(F.size(name) / block).cast("int") - 1)
+        return F.transform(starts, lambda n: F.slice(name, n * block + 1, F.lit(block)))
+
+    # Each side is cut into rows of its pieces, and the whole array goes no further than its own cut.
+    common = [c for c in sides.columns if c not in ("plans", "files")]
     blocks = (
         sides.where((F.size("plans") > 0) & (F.size("files") > 0))
-        .withColumn("plan_block", F.explode(chunks("plans")))
-        .withColumn("file_block", F.explode(chunks("files")))
-        .withColumn("plans", F.slice("plans", F.col("plan_block") * block + 1, F.lit(block)))
-        .withColumn("files", F.slice("files", F.col("file_block") * block + 1, F.lit(block)))
+        .select(*common, "files", F.posexplode(chunks("plans")).alias("plan_block", "plans"))
+        .repartition(tasks, "source_index_file", "structure_no", "plan_block")
+        .select(*common, "plan_block", "plans", F.posexplode(chunks("files")).alias("file_block", "files"))
         .repartition(tasks, "source_index_file", "structure_no", "plan_block", "file_block")
     )
     pairs = _unnest(_unnest(blocks, "plans", "plan"), "files", "file")

@@ -31,13 +31,24 @@ def small_side(
 ) -> DataFrame:
     """Mark ``df`` for broadcast when it was measured to be small, else return it unmarked.
 
-    The measurement is one distributed aggregate.  Unmarked sides go through a shuffle
-    join, whose hot keys adaptive execution splits.
+    The measurement is one distributed aggregate, taken only of what is read straight from
+    storage; anything else would be computed twice.  Unmarked sides are left to adaptive
+    execution, which broadcasts small ones and splits the hot keys of others.
     """
+    if not is_stored(df):
+        return df
     rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("bigint"))).first()
     return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
+def is_stored(df: DataFrame) -> bool:
+    """Is the frame a stored table, at most filtered, projected or made distinct?"""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter", "Aggregate"):
+        node = node.children().apply(0)
+    return node.children().isEmpty()
+
+
 def target_set(df: DataFrame, column: str = "npi") -> DataFrame:
     """Distinct, trimmed, filled identifiers as one column ``npi``."""
     npi = S.strip(F.col(column).cast("string"))
@@ -53,7 +64,7 @@ def semi_npi(df: DataFrame, targets: DataFrame, column: str = "npi", trimmed: bo
 
 def not_done(df: DataFrame, done: DataFrame, column: str, done_column: str | None = None) -> DataFrame:
     """Candidates that the ledger, or an earlier output, does not hold."""
-    done = done.select(F.col(done_column or column).alias("_done")).distinct()
+    done = done.select(F.col(done_column or column).alias("_done"))
     return df.join(small_side(done), df[column] == F.col("_done"), "left_anti")
 
 

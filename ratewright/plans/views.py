@@ -340,7 +340,7 @@ def page_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     url = F.col("url")
     damaged = (
-        F.when(url.contains("/fr/") & url.startswith("https:"), F.concat(F.lit("TPS"), F.substring(url, 6, 100000)))
+        F.when(url.contains("/fr/") & url.startswith("https:"), F.concat(F.lit("TPS"), F.substr(url, F.lit(6))))
         .when(url.contains("/de/"), F.concat(F.lit("ttp"), F.regexp_replace(url, "^https?", "")))
         .otherwise(url)
     )

@@ -62,10 +62,11 @@ def test_url_filename(spark):
 
 
 def test_seed_url(spark):
-    url = "https://UHC-tic-mrf.azureedge.net/box/2026-01-01/x/y.json?sv=1&a=b%20c+d&empty=&sv=2"
-    seed = values(spark, lambda: S.parse_seed_url("x"), [url])[0]
+    url = "https://CDN.example.net/box/2026-01-01/x/y.json?sv=1&a=b%20c+d&empty=&sv=2"
+    aliases = {"cdn.example.net": "store.example.com"}
+    seed = values(spark, lambda: S.parse_seed_url("x", aliases), [url])[0]
     assert (seed.base_url, seed.container, seed.prefix) == (
-        "https://mrfstorageprod.blob.core.windows.net",
+        "https://store.example.com",
         "box",
         "2026-01-01/x/",
     )
