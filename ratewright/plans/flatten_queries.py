@@ -162,6 +162,20 @@ def _filtered_prices(spark, folder, prefixes=()):
     )
 
 
+def _provider_table(spark, folder):
+    """The filtered provider table, written once as an extraction writes it, and the groups it holds."""
+    rows = flatten.flatten_provider_references(
+        views.provider_items(spark, folder), views.LINEAGE, views.targets(spark, folder)
+    )
+    providers = saved(rows, "providers")
+    return providers, writers.save_matched_groups(flatten.groups_of(providers), fresh_folder(spark, "matched-groups"))
+
+
+def _prices_of(spark, folder, groups):
+    work = fresh_folder(spark, "matched-rates")
+    return flatten.flatten_in_network(views.price_items(spark, folder), views.LINEAGE, groups, work=work)
+
+
 @query("price_flatten_full", f"WITH {_PRICE_SQL} SELECT {_PRICE_COLUMNS} FROM prices")
 def price_flatten_full(spark, folder):
     return flatten.flatten_in_network(views.price_items(spark, folder), views.LINEAGE)
@@ -201,10 +215,9 @@ _PROVIDER_TABLE_SQL = """SELECT source_pricing_file, provider_group_id, count(*)
     GROUP BY ALL""",
 )
 def price_provider_join(spark, folder):
-    providers = flatten.flatten_provider_references(
-        views.provider_items(spark, folder), views.LINEAGE, views.targets(spark, folder)
-    )
-    prices = flatten.flatten_in_network(views.price_items(spark, folder), views.LINEAGE)
+    providers, groups = _provider_table(spark, folder)
+    # Prices of other groups would meet no provider.
+    prices = _prices_of(spark, folder, groups)
     pairs = joins.price_with_provider(prices, providers)
     return pairs.groupBy("source_pricing_file", "billing_code", "provider_group_id", "npi").agg(
         F.count(F.lit(1)).alias("prices"), F.round(F.max("negotiated_rate"), 2).alias("top_rate")
@@ -217,13 +230,11 @@ def rates_by_code(spark, folder):
     Providers are counted per (file, group) before they meet the prices, so the join adds
     no rows beyond one per reference.
     """
-    providers = flatten.flatten_provider_references(
-        views.provider_items(spark, folder), views.LINEAGE, views.targets(spark, folder)
-    )
+    providers, groups = _provider_table(spark, folder)
     grouped = providers.groupBy("source_pricing_file", "provider_group_id").agg(
         F.count_distinct("npi").alias("npis")
     )
-    prices = _filtered_prices(spark, folder)
+    prices = _prices_of(spark, folder, groups)
     ids = F.array_distinct(S.safe_ints(F.split("provider_references", r"\|")))
     refs = prices.select(
         "source_pricing_file", "billing_code", "negotiated_rate", F.explode(ids).alias("provider_group_id")
@@ -409,11 +420,13 @@ def _as_elements(items, section):
     header = header.withColumns(
         {
             "section": F.lit("header"),
-            "ordinal": F.lit(""),
+            "ordinal": F.lit(0).cast("bigint"),
             "element_json": F.to_json(F.struct(*schemas.HEADER_FIELDS)),
         }
     )
-    body = items.withColumns({"section": F.lit(section), "element_json": F.to_json("item")})
+    body = items.withColumns(
+        {"section": F.lit(section), "ordinal": F.xxhash64("ordinal"), "element_json": F.to_json("item")}
+    )
     return header.select(*fields).unionByName(body.select(*fields))
 
 
@@ -433,7 +446,8 @@ def price_from_elements(spark, folder):
 
 # ---------------------------------------------------------------- through whole documents
 
-DOCUMENTS = 16
+#: Elements of a landed document; the number of documents follows the input.
+DOCUMENT_ELEMENTS = 2_000
 
 
 def land_documents(items, section, path):
@@ -443,17 +457,18 @@ def land_documents(items, section, path):
     line per element, and its closing line; no document is ever held as one value.
     """
     spark = items.sparkSession
+    documents = items.count() // DOCUMENT_ELEMENTS + 2
     body = items.select(
-        F.pmod(F.xxhash64("ordinal"), F.lit(DOCUMENTS)).alias("document"),
+        F.pmod(F.xxhash64("ordinal"), F.lit(documents)).alias("document"),
         F.lit(1).alias("part"),
         F.concat(F.lit(","), F.to_json("item")).alias("value"),
     )
-    ids = spark.range(DOCUMENTS).select(F.col("id").alias("document"))
+    ids = spark.range(documents).select(F.col("id").alias("document"))
     opening = '{"reporting_entity_name": "Entity", "%s": [null' % section
     first = ids.select("document", F.lit(0).alias("part"), F.lit(opening).alias("value"))
     last = ids.select("document", F.lit(2).alias("part"), F.lit('], "version": "2.0"}').alias("value"))
     lines = first.unionByName(body).unionByName(last)
-    ordered = lines.repartition(DOCUMENTS, "document").sortWithinPartitions("document", "part")
+    ordered = lines.repartition(documents, "document").sortWithinPartitions("document", "part")
     ordered.drop("part").write.mode("append").partitionBy("document").text(path)
 
 
@@ -595,12 +610,11 @@ def select_signal(spark, folder):
     FROM counted GROUP BY 1""",
 )
 def run_counters(spark, folder):
-    references, items = views.provider_items(spark, folder), views.price_items(spark, folder)
-    targets, groups = views.targets(spark, folder), saved_groups(spark, folder)
+    providers, groups = _provider_table(spark, folder)
     return audit.run_counters(
-        references,
-        items,
-        flatten.flatten_provider_references(references, views.LINEAGE, targets),
+        views.provider_items(spark, folder),
+        views.price_items(spark, folder),
+        providers,
         groups,
-        flatten.flatten_in_network(items, views.LINEAGE, groups, work=fresh_folder(spark, "matched-rates")),
+        _prices_of(spark, folder, groups),
     )
