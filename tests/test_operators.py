@@ -2,8 +2,11 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ratewright.operators import audit, discovery, joins, registry, selection, shards
+from ratewright import schemas
+from ratewright.operators import audit, discovery, flatten, joins, registry, selection, shards
+from ratewright.plans import views
 from ratewright.sources import lists, writers
 from ratewright.sources.registry import REGISTRY_COLUMNS, SLOT_CODE, SLOT_SWITCH, read_provider_registry, read_taxonomy
 
@@ -257,6 +260,27 @@ def test_direct_list(spark):
     assert discovery.direct_select(urls, keep_non_index=True).count() == 2
 
 
+def test_computed_sides_are_not_measured(spark):
+    """A join starts no job for a side that would have to be computed."""
+    lazy = spark.range(9).selectExpr("cast(id % 3 as string) as npi").join(spark.range(3).selectExpr("cast(id as string) as npi"), "npi")
+    assert joins.small_side(lazy) is lazy
+    assert not joins.is_stored(lazy) and joins.is_stored(spark.range(3).where("id > 1").distinct())
+
+
+def test_large_structures_are_cut_on_both_sides(spark):
+    plans = [{"plan_name": str(n)} for n in range(1000)]
+    files = [{"location": f"u{n}"} for n in range(300)] + [{"location": ""}]
+    row = {"source_index_file": "i", "reporting_structure": [{"reporting_plans": plans, "in_network_files": files}]}
+    fields = [f for f in schemas.INDEX_DOCUMENT.fields if f.name != schemas.CORRUPT]
+    docs = spark.createDataFrame([row], T.StructType([T.StructField("source_index_file", T.StringType()), *fields]))
+    bridge = flatten.flatten_index(docs, views.LINEAGE)
+    assert bridge.select("plan_name", "location").distinct().count() == bridge.count() == 300_000
+    # Below the generator of a side's pieces, only that side is read whole.
+    plan = bridge._jdf.queryExecution().optimizedPlan().toString()
+    generators = [line for line in plan.splitlines() if "Generate posexplode(transform(" in line]
+    assert len(generators) == 2
+
+
 # ---------------------------------------------------------------- audit
 
 
