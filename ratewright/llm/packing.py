@@ -37,12 +37,12 @@ class Encoder:
     """Token ids of a byte-level BPE file of the ``tokenizers`` library, words remembered.
 
     Such a tokenizer cuts before every space that a non-space follows, around a single line break between
-    non-spaces, and between letters and ASCII marks; what lies between two cuts is encoded once and kept
-    (``remembered`` entries at most, then forgotten). Texts in which the cuts are not that simple, and
+    non-spaces, and between letters and ASCII marks; what lies between two cuts is encoded once and kept.
+    After ``remembered`` entries a new table is begun, and of the one before stays what is met again. Texts in which the cuts are not that simple, and
     texts with special tokens, are given to the tokenizer whole.
     """
 
-    remembered = 700_000
+    remembered = 150_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -56,6 +56,7 @@ class Encoder:
         self.alphabet = dict(zip(shown, map(chr, shown))) | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.spaced: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
+        self.earlier: tuple[dict, dict] = ({}, {})
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
@@ -70,7 +71,9 @@ class Encoder:
 
     def _part(self, word: str, space: str) -> bytes:
         known = self.spaced if space else self.plain
-        if (ids := known.get(word)) is not None:
+        ids = known.get(word) or self.earlier[not space].get(word)
+        if ids is not None:
+            known[word] = ids
             return ids
         core = word.rstrip(_PUNCTUATION)
         rest = word[len(core) :]
@@ -84,8 +87,9 @@ class Encoder:
             ids = self._one(space + word)
         if len(word) <= 64:
             if len(self.spaced) + len(self.plain) >= self.remembered:
-                self.spaced.clear()
-                self.plain.clear()
+                self.earlier = (self.spaced, self.plain)
+                self.spaced, self.plain = {}, {}
+                known = self.spaced if space else self.plain
             known[word] = ids
         return ids
 
@@ -95,9 +99,9 @@ class Encoder:
             return b""
         if any(s in text for s in self.special):
             return self.whole(text)
-        get, out, space = self.spaced.get, [], ""
+        out, space = [], ""
         for word in text.split(" "):
-            ids = get(word) if space else self.plain.get(word)
+            ids = self.spaced.get(word) if space else self.plain.get(word)
             if ids is None:
                 lines = word.split("\n")
                 if any(not line or (line.split() != [line]) for line in lines):
