@@ -156,7 +156,7 @@ def marks_in(word: str, listed) -> list[str]:
 class Restorer:
     """Marks of restored texts; what a token says is kept up to a bound."""
 
-    def __init__(self, model: CharacterModel, listed, remembered: int = 600_000):
+    def __init__(self, model: CharacterModel, listed, remembered: int = 200_000):
         self.model, self.listed, self.remembered = model, listed, remembered
         self.known: dict[str, tuple[str, ...]] = {}
 
