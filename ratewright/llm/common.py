@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -9,17 +11,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewright.session import fresh_folder, ship_package
 
 #: Text bytes that one numpy pass takes at once; a longer single text is taken alone.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch between Spark and a Python worker; both sides hold some of them.
+BATCH_BYTES = 16 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the executors."""
+def map_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with this package on the executors, and batches of ``BATCH_BYTES`` unless the session says otherwise."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    if df.sparkSession.conf.get(_BATCH, None) is None:
+        df.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process outlives its task, and others need the memory then."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -83,7 +105,7 @@ def crc(data: bytes) -> int:
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Bytes that are hashed at once; cuts fall on white space.
-_HASHED = 2 << 20
+_HASHED = 1 << 19
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2D
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -155,7 +177,7 @@ def with_columns(docs: DataFrame, source: str, added: str, begin: Callable) -> D
     """``docs`` with columns computed from batches of them; ``begin()`` gives the function, once for each task."""
     names = [part.split()[0] for part in added.split(", ")]
     docs = docs.drop(*names)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [added])
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(added).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = begin()

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewright.llm.common import map_arrow, slices, texts_of
 
@@ -172,8 +173,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     """``docs`` with ``n_words`` and ``hits``: the spans of words that repeat a window of an item, by item."""
     spark = docs.sparkSession
     found = docs.drop("n_words", "hits")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
-    schema += f", n_words bigint, hits array<{SPAN}>"
+    schema = T.StructType([*found.schema.fields, *T.StructType.fromDDL(f"n_words bigint, hits array<{SPAN}>").fields])
     first, block, held, token = True, [], 0, np.random.SeedSequence().entropy
 
     def search(frame: DataFrame) -> DataFrame:

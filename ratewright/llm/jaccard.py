@@ -41,6 +41,8 @@ REGION_SETS, REGION_MEMBERS = 1024, 2_000_000
 PIVOTS = 8
 #: Slots of the bitmaps that are sent to all tasks, and the share of them that may be filled.
 SLOTS, FILLED = 1 << 25, 0.25
+#: Text bytes whose n-grams a task holds at once.
+READ_BYTES = 4 << 20
 #: N-grams that may be last in the order of all; the others go by hash. Any order gives the same links.
 LATE = 1 << 17
 _ALL = (1 << 64) - 1
@@ -96,12 +98,12 @@ def _fingerprints(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=READ_BYTES):
                 sets = ngram_sets(texts_of(part), words)
                 prints = [fingerprint(s) for s in sets]
                 distinct = {p: s for p, s in zip(prints, sets, strict=True)}
                 members, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *distinct.values()]), return_counts=True)
-                often = np.flatnonzero(times >= 8)
+                often = np.flatnonzero(times >= 4)
                 often = often[np.argsort(-times[often], kind="stable")][:4096]
                 rows = part.num_rows
                 yield pa.record_batch(
@@ -128,7 +130,7 @@ def _fronts(words: int, percent: int, shared):
         often, order = shared.value
         seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=READ_BYTES):
                 keys, nodes, sizes = [], [], []
                 for members in ngram_sets(texts_of(part), words):
                     node = fingerprint(members)
@@ -202,21 +204,21 @@ def parts_of(members: np.ndarray, percent: int) -> np.ndarray:
 
 def _kept_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=READ_BYTES):
                 rows = []
-                for members in ngram_sets(texts_of(part), words):
+                for doc, members in zip(column(part, "doc_id"), ngram_sets(texts_of(part), words), strict=True):
                     node = fingerprint(members)
-                    if len(members) and node not in seen:
+                    if len(members) and (doc, node) not in seen:
                         if len(seen) >= 1_000_000:
                             seen.clear()
-                        seen.add(node)
-                        rows.append((node, len(members), members.tobytes()))
+                        seen.add((doc, node))
+                        rows.append((doc, node, len(members), members.tobytes()))
                 if rows:
-                    kinds = (pa.int64(), pa.int32(), pa.binary())
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
                     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.record_batch(columns, names=["node", "size", "members"])
+                    yield pa.record_batch(columns, names=["doc_id", "node", "size", "members"])
 
     return run
 
@@ -294,7 +296,8 @@ def _distances(percent: int):
     """Each set's distances from its region's pivots, and the pivots it links with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A row comes with the sets of its pivots, so few rows are held as Python objects.
+        for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             distances, links, pivots = [], [], []
             for members, given in zip(column(batch, "members"), column(batch, "given"), strict=True):
                 own = np.frombuffer(members, np.uint64)
@@ -342,7 +345,7 @@ def _pivot_round(large: DataFrame, percent: int, number: int) -> tuple[DataFrame
         chosen.select("region", F.explode("pivots").alias("node"))
         .join(large.select("region", "node", "members"), ["region", "node"])
         .groupBy("region")
-        .agg(F.array_sort(F.collect_list(F.struct("node", "members"))).alias("given"))
+        .agg(F.array_sort(F.collect_set(F.struct("node", "members"))).alias("given"))
     )
     measured = checked(map_arrow(large.join(given, "region"), _distances(percent), _DISTANCES), "jaccard-distances")
     links = measured.select(F.col("node").alias("a"), F.explode("links").alias("b")).where("a <> b")
@@ -450,17 +453,23 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     enough = F.col("count") >= 1 + F.floor(F.ceil(F.lit(percent) * F.col("size") / 100) / 16)
     able = checked(restricted(fronts, "key", repeated).groupBy("node", "size").count().where(enough).select("node"), "jaccard-able")
 
-    ids = sets.join(able, "node", "left_semi").select("doc_id").where("doc_id is not null").distinct()
-    rows = restricted(texts, "doc_id", checked(ids, "jaccard-ids")).select("text")
-    nameless = texts.where("doc_id is null").select("text")
-    kept = map_arrow(rows.union(nameless), _kept_sets(words), "node long, size int, members binary")
-    kept = checked(kept.join(able, "node", "left_semi").dropDuplicates(["node"]), "jaccard-kept")
+    # The members of a set come from one document; what else gets through the bitmap is left out at the next join.
+    named = sets.where("doc_id is not null").join(able, "node", "left_semi")
+    holders = checked(named.groupBy("node").agg(F.min("doc_id").alias("holder")), "jaccard-holders")
+    rows = restricted(texts, "doc_id", holders.select(F.col("holder").alias("doc_id")).distinct())
+    kept = map_arrow(rows.union(texts.where("doc_id is null")), _kept_sets(words), "doc_id long, node long, size int, members binary")
+    kept = checked(kept, "jaccard-kept")
 
     parts = map_arrow(kept.select("node", "members"), _parts(percent), "key long, node long")
     parts = checked(parts, "jaccard-parts")
     centres = parts.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("key", "a")
     regions = components(parts.join(centres, "key").select("a", F.col("node").alias("b")), "jaccard-regions")
-    near = regions.select("node", F.col("root").alias("region")).join(kept, "node")
+    places = checked(regions.join(holders, "node", "left").select("node", F.col("root").alias("region"), "holder"), "jaccard-places")
+    members = restricted(kept, "node", places.select("node"))
+    held = places.where("holder is not null").join(members.withColumnRenamed("doc_id", "holder"), ["node", "holder"])
+    lone = places.where("holder is null").drop("holder").join(members.where("doc_id is null"), "node")
+    wanted = ("node", "region", "size", "members")
+    near = held.select(*wanted).union(lone.select(*wanted))
     links = region_links(checked(near, "jaccard-near"), percent)
     roots = components(links, "jaccard-links")
 
