@@ -1,10 +1,14 @@
 """Toxicity behind obfuscated spelling: a noisy channel, decoded, then scored.
 
 The channel writes a letter as itself, as a look-alike (``0`` for o, ``@`` for a), several times over, or with marks
-or spaces put in between. A token that could be such writing is a lattice: at each place the letters it may stand
-for, or nothing. Viterbi search takes the path that the channel and a character language model (trigrams of all
-texts, mixed with the words that labels mark) find likeliest. A token of plain letters has one path and stands for
-itself, so only the others are searched; answers are remembered.
+or spaces put in between. Such writing is a lattice: at each place the letters it may stand for, a space, or nothing.
+Viterbi search takes the path that the channel and a character language model (trigrams of all texts, mixed with the
+words that labels mark) find likeliest. A token of plain letters has one path and
+stands for itself. Of the others, those are searched that have a path through a marked word (a walk along
+the beginnings of marked words tells, exactly); answers are remembered.
+
+Tokens that follow each other are walked along the same beginnings, so a marked word is seen across any white space and
+marks between its letters or pieces; the search then says whether the space was meant.
 
 Words of the restored text are looked up in a list of marked words, whose weights a logistic model learned together
 from labelled documents. Whole texts are read. Null texts count as empty and have a score as others do. Without labels
@@ -18,6 +22,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +44,15 @@ LOOKALIKES = {
 #: Marks that may be put between letters.
 FILLERS = "-_.*~'​­^=#:,;/\\"
 _SAME, _ALIKE, _REPEAT, _FILLED, _APART, _DROPPED = -0.05, -1.0, -0.7, -0.4, -1.2, -4.0
+#: Spaces next to pieces of more than one letter are mostly meant.
+_SPLIT = -6.0
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
-_STRIPPED = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’…"
-_SINGLES = re.compile(r"(?<!\S)(?:[a-z0-9!|@$+(][ \-_.*]{1,2}){2,}[a-z0-9!|@$+(](?!\S)")
-_BEGINNINGS = range(4, 9)
 #: Longer tokens (keys, addresses) are not words in disguise.
 _LONGEST = 40
+_STRIPPED = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’…"
+_BEGINNINGS = range(4, 9)
+#: Places after which the search settles what all its paths share.
+_SETTLED = 1024
 _ALPHABET = 28  # a-z, word border, any other letter
 
 
@@ -82,8 +91,12 @@ class CharacterModel:
         word = text.rpartition(" ")[2]
         return word if word in self.begun else " " + word[-2:]
 
+    def after(self, state: str, char: str) -> str:
+        """The state that ``char`` leads to."""
+        return self.state("" if char == " " else state + char)
+
     def log(self, text: str, char: str) -> float:
-        """Log probability of ``char`` (a space ends the word) after ``text``."""
+        """Log probability of ``char`` (a space ends the word) after ``text`` or its state."""
         key = (self.state(text), char)
         if key not in self.known:
             word = key[0]
@@ -94,57 +107,97 @@ class CharacterModel:
         return self.known[key]
 
 
+@lru_cache(4096)
+def _options(char: str, run: int) -> list[tuple[str, float]]:
+    if char in FILLERS:
+        return [("", _FILLED * run), (" ", _APART)]
+    if char in LOOKALIKES:
+        options = [("", _DROPPED)]
+        for letter in LOOKALIKES[char]:
+            options += [(letter, _ALIKE + _REPEAT * (run > 1)), (letter * 2, _ALIKE + _REPEAT * (run != 2))] if run > 1 else [(letter, _ALIKE)]
+        return options
+    if char.isalpha():
+        return [(char, _SAME + _REPEAT * (run > 1))] + ([(char * 2, _SAME + _REPEAT * (run != 2))] if run > 1 else [])
+    return [("", _DROPPED)]
+
+
+_BETWEEN_SINGLES, _BETWEEN_PIECES = [("", _FILLED), (" ", _APART)], [("", _SPLIT), (" ", _SAME)]
+_BETWEEN_WORDS = [("", _APART), (" ", _FILLED)]
+_GAP = re.compile(f"([ {re.escape(FILLERS)}]+)")
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """At each place what the writing may stand for, with the channel's log probability."""
-    places, at = [], 0
-    while at < len(token):
-        char, end = token[at], at + 1
-        while end < len(token) and token[end] == char:
-            end += 1
-        run = end - at
-        if char == " ":
-            options = [("", _FILLED), (" ", _APART)]
-        elif char in FILLERS:
-            options = [("", _FILLED * min(run, 3))]
-        elif char in LOOKALIKES:
-            options = [("", _DROPPED)]
-            for letter in LOOKALIKES[char]:
-                options += [(letter, _ALIKE + _REPEAT * (run > 1)), (letter * 2, _ALIKE + _REPEAT * (run != 2))] if run > 1 else [(letter, _ALIKE)]
-        elif char.isalpha():
-            options = [(char, _SAME + _REPEAT * (run > 1))] + ([(char * 2, _SAME + _REPEAT * (run != 2))] if run > 1 else [])
+    """At each place what the writing may stand for, with the channel's log probability; a run of one character is one place."""
+    places = []
+    parts = _GAP.split(token)
+    single = [len(set(part)) < 2 for part in parts]
+    for k, part in enumerate(parts):
+        if k % 2 and " " in part:
+            places.append(_BETWEEN_SINGLES if single[k - 1] and single[k + 1] else _BETWEEN_PIECES)
+            part = part.replace(" ", "")
+            places.extend(_options(char, 1)[:1] for char in dict.fromkeys(part))
+        elif k % 2 and not single[k - 1] and not single[k + 1]:
+            places.append(_BETWEEN_WORDS)
         else:
-            options = [("", _DROPPED)]
-        places.append(options)
-        at = end
+            at = 0
+            while at < len(part):
+                char, end = part[at], at + 1
+                while end < len(part) and part[end] == char:
+                    end += 1
+                places.append(_options(char, min(end - at, 3)))
+                at = end
     return places
 
 
+def _text(path: tuple | None) -> str:
+    parts = []
+    while path is not None:
+        parts.append(path[1])
+        path = path[0]
+    return "".join(reversed(parts))
+
+
 def restore(token: str, model: CharacterModel) -> str:
-    """The likeliest word or words: Viterbi search with the best path to each state of the character model."""
-    paths = {"": (0.0, "")}
-    for options in lattice(token):
-        reached: dict[str, tuple[float, str]] = {}
-        for score, text in paths.values():
+    """The likeliest word or words: Viterbi search with the best path to each state of the character model.
+
+    A path is a chain of what its places stand for; time and memory grow with the token, not with its square.
+    """
+    paths, settled = {model.state(""): (0.0, None)}, []
+    for at, options in enumerate(lattice(token), 1):
+        reached: dict[str, tuple[float, tuple | None]] = {}
+        for state, (score, path) in paths.items():
             for letters, cost in options:
-                total, longer = score + cost, text
+                total, key = score + cost, state
                 for letter in letters:
-                    total += model.log(longer, letter)
-                    longer += letter
-                key = model.state(longer)
-                if key not in reached or (total, longer) > reached[key]:
-                    reached[key] = (total, longer)
+                    total += model.log(key, letter)
+                    key = model.after(key, letter)
+                if key not in reached or total > reached[key][0]:
+                    reached[key] = (total, (path, letters) if letters else path)
         paths = reached
-    return max((score + model.log(text, " "), text) for score, text in paths.values())[1]
+        if at % _SETTLED == 0:
+            texts = {state: _text(path) for state, (_, path) in paths.items()}
+            shared = commonprefix(list(texts.values()))
+            settled.append(shared)
+            paths = {state: (score, (None, texts[state][len(shared) :])) for state, (score, _) in paths.items()}
+    _, best = max(((score + model.log(state, " "), _text(path)) for state, (score, path) in paths.items()))
+    return "".join(settled) + best
+
+
+def _core(token: str) -> str:
+    return token if token.isalpha() else _edges(token)
+
+
+def _certain(core: str) -> bool:
+    """Whether a token stands for itself: letters without a triple, long ones, or no letters at all."""
+    if len(core) > _LONGEST:
+        return True
+    return not _TRIPLE.search(core) if core.isalpha() else not any(map(str.isalpha, core))
 
 
 def plain_words(token: str, model: CharacterModel) -> list[str]:
     """What a token (no white space, lower case) says: itself without marks around it, or decoded."""
-    core = token if token.isalpha() else _edges(token)
-    if core.isalpha() and not _TRIPLE.search(core):
-        return [core]
-    if len(core) > _LONGEST or not any(map(str.isalpha, core)):
-        return [core]
-    return restore(core, model).split()
+    core = _core(token)
+    return [core] if _certain(core) else restore(core, model).split()
 
 
 def marks_in(word: str, listed) -> list[str]:
@@ -158,24 +211,93 @@ class Restorer:
 
     def __init__(self, model: CharacterModel, listed, remembered: int = 200_000):
         self.model, self.listed, self.remembered = model, listed, remembered
-        self.known: dict[str, tuple[str, ...]] = {}
-
-    def _marks(self, token: str) -> tuple[str, ...]:
+        self.known: dict[str, tuple[tuple[str, ...], frozenset[str]] | None] = {}
+        self.words = {w for w in listed if w.isalpha()}
+        self.stems = {w[:-1] for w in listed if w.endswith("*") and w[:-1].isalpha()}
+        self.begun = {w[:k] for w in self.words | self.stems for k in range(len(w) + 1)}
+
+    def walk(self, places: list[list[tuple[str, float]]], states: set[str] | frozenset[str], anew: bool = False) -> tuple[set[str], bool]:
+        """Where ``places`` lead from the beginnings ``states``, and whether on a path through a mark.
+
+        ``anew``: spaces within are taken too; then a word may end and the next one begin there.
+        """
+        begun, stems, words = self.begun, self.stems, self.words
+        found = False
+        for options in places:
+            reached = set()
+            for letters, _ in options:
+                if letters == " ":
+                    if anew:
+                        found = found or not words.isdisjoint(states)
+                        reached.add("")
+                    continue
+                for state in states:
+                    for letter in letters:
+                        found = found or state in stems
+                        state += letter
+                        if state not in begun:
+                            break
+                    else:
+                        reached.add(state)
+            states = reached
+            if not states and not anew:
+                break
+        return states, found or not words.isdisjoint(states)
+
+    def _token(self, token: str) -> tuple[tuple[str, ...], frozenset[str]] | None:
+        """Marks of a token by itself, and the beginnings of marks that it may end with, if any."""
+        core = _core(token)
+        if core.isalpha() and _certain(core):
+            marks, reached = tuple(marks_in(core, self.listed)), {core} & self.begun
+        else:
+            reached, found = self.walk(lattice(core), {""}, anew=True)
+            marks = tuple(marks_in(core, self.listed)) if _certain(core) else self._restored(core) if found else ()
+        begun = frozenset(reached - {""})
         if len(self.known) >= self.remembered:
             self.known.clear()
-        found = self.known[token] = tuple(m for w in plain_words(token, self.model) for m in marks_in(w, self.listed))
-        return found
+        self.known[token] = entry = (marks, begun) if marks or begun else None
+        return entry
+
+    def _restored(self, run: str) -> tuple[str, ...]:
+        return tuple(m for w in restore(run, self.model).split() for m in marks_in(w, self.listed))
+
+    def _goes_on(self, states: set[str] | frozenset[str], token: str) -> tuple[set[str], bool]:
+        """``walk`` from the beginnings that the tokens before may end with."""
+        core = _core(token)
+        if core[0].isalpha():
+            states = {s for s in states if s + core[0] in self.begun or s in self.stems}
+        return self.walk(lattice(core), states) if states else (set(), False)
+
+    def _across(self, tokens: list[str]) -> tuple[str, ...]:
+        """Marks of a run restored. Pieces of more than one letter must give a whole marked word: two plain words may well meet in a beginning."""
+        run = " ".join(map(_core, tokens))
+        if not any(map(str.isalpha, run)):
+            return ()
+        if all(len(set(piece)) < 2 for piece in _GAP.split(run)[::2]):
+            return self._restored(run)
+        return tuple(m for w in restore(run, self.model).split() if w in self.listed for m in marks_in(w, self.listed))
 
     def marks(self, text: str) -> set[str]:
-        text, get, found = text.lower(), self.known.get, set()
-        for token in set(text.split()):
-            marks = get(token)
-            if marks is None:
-                marks = self._marks(token)
-            if marks:
-                found.update(marks)
-        for run in set(_SINGLES.findall(text)):
-            found.update(m for w in restore(run, self.model).split() for m in marks_in(w, self.listed))
+        """Marks of the tokens, and of each run of tokens along which a marked word may go on, restored as a whole."""
+        known, found = self.known, set()
+        tokens = text.lower().split()
+        states, begin, hit = frozenset(), 0, False
+        for at, token in enumerate(tokens):
+            entry = known[token] if token in known else self._token(token)
+            if states:
+                states, whole = self._goes_on(states, token)
+                hit = hit or whole
+                if hit and not states:
+                    found.update(self._across(tokens[begin : at + whole]))
+                    hit = False
+            if entry is not None:
+                found.update(entry[0])
+                if entry[1]:
+                    if not states:
+                        begin = at
+                    states = states | entry[1]
+        if hit:
+            found.update(self._across(tokens[begin:]))
         return found
 
 

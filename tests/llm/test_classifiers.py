@@ -151,3 +151,23 @@ def test_disguised_words_are_found():
         assert restorer.marks(text) & {"idiot", "scum"}, text
     assert restorer.marks("m0rons") == {"moro*"}
     assert not restorer.marks("a b c plain bold text 1234 24be64439e3e49cf46b2d7c90f3602a3d0b907ff x@y.example.com")
+
+
+@pytest.mark.parametrize("end", ["", ".", ",", "!", "?", '"', ").", "..."])
+@pytest.mark.parametrize("word", ["i d i o t", "i   d   i   o   t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i \u2013 d - i = o / t", "i , d ~ i : o ; t", "! d 1 0 7", "id iot", "i diot", "1d 10t"])
+def test_words_in_pieces_are_found(word, end):
+    restorer = toxicity.Restorer(channel(), {"idiot", "scum", "moro*"})
+    for text in ("you are an {}", "{} really", "so: {} and more"):
+        assert restorer.marks(text.format(word + end)) == {"idiot"}, text.format(word + end)
+
+
+def test_pieces_of_other_letters():
+    model = channel()
+    words = {"bl\u00f6d": 2.0, "loser": 2.0}
+    restorer = toxicity.Restorer(toxicity.CharacterModel.build(model.corpus.ravel() * 1e4, words), words)
+    assert restorer.marks("so b l \u00f6 d.") == {"bl\u00f6d"}
+    assert restorer.marks("a \u00a3 o $ \u20ac r!") == {"loser"}
+    assert restorer.marks("mor over ten, a lo service 1 2 3 4 5") == set()
+    assert toxicity.Restorer(model, {"moro*"}).marks("some mor over here, moro") == set()
+    assert toxicity.Restorer(model, {"moro*"}).marks("m o r o n s!") == {"moro*"}
+    assert restorer.marks("1 7 " * 50_000 + "l") == set()
