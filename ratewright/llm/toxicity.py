@@ -3,8 +3,8 @@
 The channel writes a letter as itself, as a look-alike (``0`` for o, ``@`` for a), several times over, or with marks
 or spaces put in between. Such writing is a lattice: at each place the letters it may stand for, a space, or nothing.
 Viterbi search takes the path that the channel and a character language model (trigrams of all texts, mixed with the
-words that labels mark) find likeliest. A token of plain letters has one path and
-stands for itself. Of the others, those are searched that have a path through a marked word (a walk along
+words that labels mark) find likeliest. A token of plain letters that differ from their neighbours has one path and
+stands for itself. Of the others, of any length, those are searched that have a path through a marked word (a walk along
 the beginnings of marked words tells, exactly); answers are remembered.
 
 Tokens that follow each other are walked along the same beginnings, so a marked word is seen across any white space and
@@ -46,9 +46,7 @@ FILLERS = "-_.*~'​­^=#:,;/\\"
 _SAME, _ALIKE, _REPEAT, _FILLED, _APART, _DROPPED = -0.05, -1.0, -0.7, -0.4, -1.2, -4.0
 #: Spaces next to pieces of more than one letter are mostly meant.
 _SPLIT = -6.0
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
-#: Longer tokens (keys, addresses) are not words in disguise.
-_LONGEST = 40
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _STRIPPED = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’…"
 _BEGINNINGS = range(4, 9)
 #: Places after which the search settles what all its paths share.
@@ -188,10 +186,8 @@ def _core(token: str) -> str:
 
 
 def _certain(core: str) -> bool:
-    """Whether a token stands for itself: letters without a triple, long ones, or no letters at all."""
-    if len(core) > _LONGEST:
-        return True
-    return not _TRIPLE.search(core) if core.isalpha() else not any(map(str.isalpha, core))
+    """Whether a token stands for itself: letters without a double, or no letters at all."""
+    return not _DOUBLE.search(core) if core.isalpha() else not any(map(str.isalpha, core))
 
 
 def plain_words(token: str, model: CharacterModel) -> list[str]:

@@ -154,7 +154,7 @@ def test_disguised_words_are_found():
 
 
 @pytest.mark.parametrize("end", ["", ".", ",", "!", "?", '"', ").", "..."])
-@pytest.mark.parametrize("word", ["i d i o t", "i   d   i   o   t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i \u2013 d - i = o / t", "i , d ~ i : o ; t", "! d 1 0 7", "id iot", "i diot", "1d 10t"])
+@pytest.mark.parametrize("word", ["i d i o t", "i   d   i   o   t", "i\td\ti\to\tt", "i\nd\ni\no\nt", "i \u2013 d - i = o / t", "i , d ~ i : o ; t", "! d 1 0 7", "id iot", "i diot", "1d 10t", "ii d ii o tt"])
 def test_words_in_pieces_are_found(word, end):
     restorer = toxicity.Restorer(channel(), {"idiot", "scum", "moro*"})
     for text in ("you are an {}", "{} really", "so: {} and more"):
@@ -171,3 +171,23 @@ def test_pieces_of_other_letters():
     assert toxicity.Restorer(model, {"moro*"}).marks("some mor over here, moro") == set()
     assert toxicity.Restorer(model, {"moro*"}).marks("m o r o n s!") == {"moro*"}
     assert restorer.marks("1 7 " * 50_000 + "l") == set()
+
+
+@pytest.mark.parametrize("token", ["iiddiioott", "IIddIIoott", "i" * 12 + "d" * 12 + "i" * 12 + "o" * 12 + "t" * 12, "\u2014".join("idiot") + "\u2014" * 40 + "!", "-" * 30 + "i" + "_" * 30 + "d10t", "now.you.poor.1d10t.must.go.to.bed.long.before.dark", "b1" * 40 + "/idiot"])
+def test_long_and_doubled_spellings_are_found(token):
+    restorer = toxicity.Restorer(channel(), {"idiot", "scum", "moro*"})
+    assert "idiot" in restorer.marks(f"such an {token} said so")
+
+
+def test_walk_leaves_out_no_token_with_a_mark():
+    pick, model, listed = random.Random(3), channel(), {"idiot", "scum", "moro*"}
+    restorer = toxicity.Restorer(model, listed)
+    for _ in range(400):
+        token = "".join(c * pick.choice([1, 1, 2, 5]) + pick.choice(["", "", "-", "."]) for c in pick.choice(["1d10t", "$cum", "m0r0ns", "idiom", "s.cam", "xidiot", "id.moron"]))
+        marks = {m for w in toxicity.plain_words(token, model) for m in toxicity.marks_in(w, listed)}
+        assert restorer.marks(token) == marks, token
+
+
+def test_time_grows_with_the_token():
+    restorer = toxicity.Restorer(channel(), {"idiot", "scum", "moro*"})
+    assert restorer.marks("01" * 100_000 + ".scum") == {"scum"}
