@@ -2,7 +2,8 @@ r"""Licence texts by the digest of their canonical form.
 
 The canonical form of a text: lower case, copyright lines dropped, other spellings of the same word made one, everything
 but letters and digits as one space. A whole text is a known licence where the digests are equal, which is a hash join.
-The known texts are a table of the caller (``licence_id, text``); ``KNOWN`` holds short public notices.
+The known texts are a table of the caller (``licence_id, text``); ``KNOWN`` holds whole standard texts (``licence_texts``)
+with their common variants, and short public notices.
 
 Everything is a column expression. Besides the whole text, each line is looked up by itself, since documents quote a notice as a line.
 
@@ -13,11 +14,13 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Public notices by licence.
-KNOWN = [
+NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
@@ -32,6 +35,38 @@ KNOWN = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Whole texts by licence, with the titles they may stand under and the line that ends the terms (a how-to may follow).
+TEXTS = [
+    ("Apache-2.0", "Apache-2.0", (), "END OF TERMS AND CONDITIONS"),
+    ("BSD-2-Clause", "BSD-2-Clause", ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License"), None),
+    ("BSD-3-Clause", "BSD-3-Clause", ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "BSD License", "New BSD License"), None),
+    ("CC0-1.0", "CC0-1.0", (), None),
+    ("GPL-2.0", "GPL-2", (), "END OF TERMS AND CONDITIONS"),
+    ("GPL-3.0", "GPL-3", (), "END OF TERMS AND CONDITIONS"),
+    ("ISC", "ISC", ("ISC License", "The ISC License", "ISC License (ISC)"), None),
+    ("LGPL-2.1", "LGPL-2.1", (), "END OF TERMS AND CONDITIONS"),
+    ("LGPL-3.0", "LGPL-3", (), None),
+    ("MIT", "MIT", ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"), None),
+    ("MPL-2.0", "MPL-2.0", (), None),
+]
+
+
+def _whole() -> list[tuple[str, str]]:
+    """Each text under each title (where it has some, also with rights reserved), with and without what follows the terms, and with either scheme in its links."""
+    found = []
+    for licence, name, titles, end in TEXTS:
+        text = (files("ratewright.llm") / "licence_texts" / f"{name}.txt").read_text("utf-8")
+        bodies = [text]
+        if end:
+            terms = text[: text.index(end)]
+            bodies += [terms, terms + end]
+        for body in bodies:
+            for linked in dict.fromkeys((body, body.replace("http://", "https://"), body.replace("https://", "http://"))):
+                found += [(licence, f"{title}\n\n{line}\n\n{linked}") for title in ("", *titles) for line in (("", "All rights reserved.") if titles else ("",))]
+    return found
+
+
+KNOWN = NOTICES + _whole()
 #: Other spellings of a word.
 SPELLINGS = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licencing", "licensing"),

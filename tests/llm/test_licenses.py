@@ -1,3 +1,5 @@
+from importlib.resources import files
+
 from ratewright.llm import licenses, queries
 
 
@@ -30,3 +32,13 @@ def test_variants(spark):
 def test_no_python_in_plan(spark, small):
     plan = queries.op7_scan_licences(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_whole_texts(spark):
+    held = {licence: (files("ratewright.llm") / "licence_texts" / f"{name}.txt").read_text("utf-8") for licence, name, _, _ in licenses.TEXTS}
+    rows = [(licence, "  " + text.replace("http:", "https:").upper().replace("\n", " \n")) for licence, text in held.items()]
+    rows += [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2021 Some One\n\n" + held["MIT"]), ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + held["BSD-3-Clause"])]
+    rows += [("Apache-2.0", held["Apache-2.0"].split("END OF TERMS")[0]), (None, held["MIT"] + "And more."), (None, held["GPL-3.0"][:9000])]
+    docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r.licence_id for r in licenses.scan(docs, licenses.known_table(spark)).collect()}
+    assert found == {k: licence for k, (licence, _) in enumerate(rows)}
