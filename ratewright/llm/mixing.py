@@ -17,7 +17,7 @@ first words; one document a source at most does. Long documents, whose presence
 likelier than short ones, and the largest are certain.
 
 u comes from a digest of id and text, so runs agree however the rows are divided. No source's rows are ranked in one
-task: the ranks are cut to 48 bits, words are summed for ranges of 32, 16 and 0 bits, and each time only the range in
+task: the ranks are cut to 48 bits, words are summed for ranges of 36, 24, 12 and 0 bits, and each time only the range in
 which R' is reached is looked into. All is column expressions.
 
 Rows: a null or empty text has no words and is not taken, a source of no words has target 0. Rows that are equal in id,
@@ -37,7 +37,7 @@ WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of a rank, and of it those that one pass tells apart.
-RANK_BITS, PASS_BITS = 48, 16
+RANK_BITS, PASS_BITS = 48, 12
 #: Copies that one row is expanded to at once.
 _CHUNK = 4096
 
@@ -68,9 +68,10 @@ def targets(by_size: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     ranked = ranked.withColumn("weight", weight.cast("double")).withColumn("bound", F.col("source_size") * F.lit(float(most)))
     order = whole.orderBy(F.col("bound") / F.col("weight"), "rank")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Whole numbers, so differences are exact; a frame to the end of all rows would be summed up again for each of them.
+    after = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     left = F.sum("source_size").over(whole) * F.lit(float(share)) - F.coalesce(F.sum("bound").over(before), F.lit(0.0))
-    levelled = ranked.withColumn("level", left / F.sum("weight").over(after))
+    levelled = ranked.withColumn("level", left / after)
     # The level at the first source that stays below its bound holds for all that follow.
     free = F.when(F.col("level") * F.col("weight") < F.col("bound"), F.col("level"))
     level = F.first(free, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -93,8 +94,10 @@ def _plan(by_size: DataFrame, goals: DataFrame) -> DataFrame:
     # Sizes from the largest on; as many rows as there are sizes.
     order = Window.partitionBy("rank").orderBy(F.desc("size"))
     words = (F.col("size") * F.col("rows")).cast("decimal(38,0)")
-    left = F.col("rest") - F.coalesce(F.sum(words).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    squares = F.sum(words * F.col("size")).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    larger = order.rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("rest") - F.coalesce(F.sum(words).over(larger), F.lit(0))
+    squared = words * F.col("size")
+    squares = F.sum(squared).over(Window.partitionBy("rank")) - F.coalesce(F.sum(squared).over(larger), F.lit(0))
     rows = rows.withColumn("left", left.cast("long")).withColumn("squares", squares.cast("decimal(38,0)"))
     # A size of which a copy is not certain, once all larger ones are; the largest such size begins the draw.
     drawn = F.col("size").cast("decimal(38,0)") * F.col("left") < F.col("squares")
@@ -129,7 +132,7 @@ def _reached(ranked: DataFrame) -> DataFrame:
         ranges = rows.groupBy("source_rank", F.shiftright("place", shift).alias("range")).agg(
             F.sum("size").alias("words"), F.first("wanted").alias("wanted"), F.first("before").alias("before")
         )
-        # At most 65,536 ranges a source.
+        # At most 4,096 ranges a source.
         order = Window.partitionBy("source_rank").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         running = ranges.withColumn("until", F.col("before") + F.sum("words").over(order))
         hit = F.when(F.col("until") >= F.col("wanted"), F.struct("range", (F.col("until") - F.col("words")).alias("before")))
