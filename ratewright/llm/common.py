@@ -28,13 +28,34 @@ def map_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) ->
     if df.sparkSession.conf.get(_BATCH, None) is None:
         df.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
 
+    owner = function.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(owner)
         yield from function(batches)
         give_back()
 
     return df.mapInArrow(run, schema)
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(owner: str, key, make: Callable, limit: int = 4):
+    """What ``make()`` gave the first time in this worker process, for tasks of the module ``owner``; ``limit`` of them at most."""
+    if (owner, key) not in _kept:
+        if len(_kept) >= limit:
+            _kept.clear()
+        _kept[owner, key] = make()
+    return _kept[owner, key]
+
+
+def keep_only(owner: str) -> None:
+    """Drop what tasks of other modules kept in this worker process."""
+    for name in [name for name in _kept if name[0] != owner]:
+        del _kept[name]
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker process outlives its task, and others need the memory then."""
     gc.collect()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewright.llm.common import map_arrow, slices, texts_of
+from ratewright.llm.common import kept, map_arrow, slices, texts_of
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -138,16 +138,14 @@ def _spans(texts: list[bytes], phrases: Phrases, window: int) -> tuple[np.ndarra
     return index.lengths, found
 
 
-_built: dict[int, Phrases] = {}
+def _phrases(shared, token: int, window: int) -> Phrases:
+    """Built once for each worker process, until a task of another operator comes."""
+    return kept(__name__, (token, window), lambda: Phrases(shared.value, window))
 
 
 def _search(shared, token: int, window: int, first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _built:
-            if len(_built) > 4:
-                _built.clear()
-            _built[token] = Phrases(shared.value, window)
-        phrases = _built[token]
+        phrases = _phrases(shared, token, window)
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())]))
         for batch in batches:
             for part in slices(batch):

@@ -8,7 +8,8 @@
    sets with too few shared members there have no partner and go.
 2. *Far regions.* What is left is cut into parts by hash. Linked sets differ in at most D members, so of more than D parts
    one is equal. Sets with an equal part are chained into regions; no link leaves a region.
-3. *Pivots.* A region that is too large for a task gets pivots. Every set's distance from them is exact, which links sets
+3. *Pivots.* A region that is too large for a task is first cut into shells around the empty set, by size. A shell that is
+   still too large gets pivots. Every set's distance from them is exact, which links sets
    to pivots; the nearest pivot gives the set's Voronoi cell, and since ``d(x, q) - d(x, p) <= 2 * reach`` holds
    for a partner in the cell of q, sets inside that window are copied to q's cell too. Sets that are linked with
    the pivots need no test among each other; of these only those stay whose distances lie within ``reach`` of the range of the others'.
@@ -32,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.common import checked, column, hashed_words, map_arrow, mix, most_frequent, slices, texts_of
+from ratewright.llm.common import checked, column, give_back, hashed_words, map_arrow, mix, most_frequent, slices, texts_of
 from ratewright.llm.graph import components
+from ratewright.operators.joins import small_side
 
 WORDS, PERCENT = 5, 80
 #: Sets, and members of all sets together, that a task compares at once.
@@ -284,12 +286,15 @@ def _small_regions(percent: int):
     def run(table: pa.Table) -> pa.Table:
         first = dict(zip(table["node"].to_pylist(), table["members"].to_pylist(), strict=True))
         found = tree_of(list(first), [np.frombuffer(m, np.uint64) for m in first.values()], percent)
+        if table.nbytes > READ_BYTES:
+            del first
+            give_back()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
-_DISTANCES = "region long, node long, size int, members binary, pivots array<long>, distances array<double>, links array<long>"
+_DISTANCES = "region long, node long, size int, pivots array<long>, distances array<double>, links array<long>"
 
 
 def _distances(percent: int):
@@ -312,7 +317,7 @@ def _distances(percent: int):
                 distances.append(row)
                 links.append(near)
                 pivots.append(ids)
-            names = ["region", "node", "size", "members"]
+            names = ["region", "node", "size"]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(_column(batch, n) for n in names),
@@ -336,18 +341,15 @@ def _is_small():
 
 
 def _pivot_round(large: DataFrame, percent: int, number: int) -> tuple[DataFrame, DataFrame]:
-    """Links of sets with pivots, and the cells that are left to compare."""
+    """Links of sets with pivots, and the cells that are left to compare, without their members."""
     reach = 1 - percent / 100
     chosen = large.groupBy("region").agg(
         F.array_distinct(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(number * PIVOTS + k))) for k in range(PIVOTS)))).alias("pivots")
     )
-    given = (
-        chosen.select("region", F.explode("pivots").alias("node"))
-        .join(large.select("region", "node", "members"), ["region", "node"])
-        .groupBy("region")
-        .agg(F.array_sort(F.collect_set(F.struct("node", "members"))).alias("given"))
-    )
-    measured = checked(map_arrow(large.join(given, "region"), _distances(percent), _DISTANCES), "jaccard-distances")
+    chosen = checked(chosen.select("region", F.explode("pivots").alias("node")), "jaccard-pivots")
+    given = large.select("region", "node", "members").join(small_side(chosen), ["region", "node"], "left_semi")
+    given = checked(given.groupBy("region").agg(F.array_sort(F.collect_set(F.struct("node", "members"))).alias("given")), "jaccard-given")
+    measured = checked(map_arrow(large.join(small_side(given), "region"), _distances(percent), _DISTANCES), "jaccard-distances")
     links = measured.select(F.col("node").alias("a"), F.explode("links").alias("b")).where("a <> b")
     roots = components(links, "jaccard-roots")
     named = measured.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -379,23 +381,33 @@ def _pivot_round(large: DataFrame, percent: int, number: int) -> tuple[DataFrame
         "region",
         "node",
         "size",
-        "members",
         F.explode(
             F.filter(
                 F.arrays_zip("pivots", "distances"), lambda z: z["distances"] <= nearest + 2 * reach + 1e-9
             )
         ).alias("cell"),
-    ).select(F.xxhash64("region", F.col("cell.pivots"), F.lit(number)).alias("region"), F.col("region").alias("before"), "node", "size", "members")
+    ).select(F.xxhash64("region", F.col("cell.pivots"), F.lit(number)).alias("region"), F.col("region").alias("before"), "node", "size")
     return links, checked(cells, "jaccard-cells")
 
 
+def _shells(large: DataFrame, percent: int) -> DataFrame:
+    """Regions by distance from the empty set, which is a set's size: linked sets are in one shell or in neighbours.
+
+    A set is in its own shell and, for larger partners, in the next; shells grow by the ratio that linked sizes may have.
+    """
+    level = F.log("size") / F.lit(math.log(100 / percent))
+    shells = F.sequence(F.floor(level), F.floor(level + 1 + 1e-6))
+    cells = large.select("region", F.explode(shells).alias("shell"), "node", "size", "members")
+    return cells.select(F.xxhash64("region", "shell", F.lit(-1)).alias("region"), "node", "size", "members")
+
+
 def _blocks(large: DataFrame, sizes: DataFrame) -> DataFrame:
     """Each pair of blocks of a region as a region."""
     blocks = sizes.select(
         "region",
         F.ceil(F.greatest(F.col("sets") * 2.2 / REGION_SETS, F.col("total") * 2.2 / REGION_MEMBERS)).cast("long").alias("blocks"),
     )
-    own = large.join(blocks, "region").withColumn("block", F.pmod(F.xxhash64("node", F.lit(91)), F.col("blocks")))
+    own = large.join(small_side(checked(blocks, "jaccard-blocks")), "region").withColumn("block", F.pmod(F.xxhash64("node", F.lit(91)), F.col("blocks")))
     pairs = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda k: F.xxhash64("region", F.least(k, F.col("block")), F.greatest(k, F.col("block"))),
@@ -412,19 +424,25 @@ def region_links(regions: DataFrame, percent: int) -> DataFrame:
         found.append(small.groupBy("region").applyInArrow(_small_regions(percent), "a long, b long"))
         if not sizes.where(~_is_small()).head(1):
             break
-        large = regions.join(sizes.where(~_is_small()).select("region"), "region", "left_semi")
-        links, cells = _pivot_round(checked(large, "jaccard-large"), percent, number)
+        # So few regions that their ids, once measured, go to all tasks, and no set is moved.
+        over = small_side(checked(sizes.where(~_is_small()).select("region"), "jaccard-over"))
+        large = regions.join(over, "region", "left_semi")
+        if number == 0:
+            regions = checked(_shells(large, percent), "jaccard-shells")
+            number += 1
+            continue
+        large = checked(large, "jaccard-large")
+        links, cells = _pivot_round(large, percent, number)
         found.append(links)
         # A cell nearly as large as its region: pivots do not tell its sets apart.
         had = sizes.select(F.col("region").alias("before"), F.col("sets").alias("had"))
         after = _sizes(cells).join(cells.select("region", "before").distinct(), "region").join(had, "before")
-        stuck = checked(after.where(~_is_small() & (F.col("sets") > 0.8 * F.col("had"))).select("before").distinct(), "jaccard-stuck")
-        whole = (
-            cells.join(stuck, "before", "left_semi")
-            .dropDuplicates(["before", "node"])
-            .select(F.col("before").alias("region"), "node", "size", "members")
-        )
-        again = cells.join(stuck, "before", "left_anti").drop("before")
+        stuck = after.where(~_is_small() & (F.col("sets") > 0.8 * F.col("had"))).select("before").distinct()
+        stuck = small_side(checked(stuck, "jaccard-stuck"))
+        whole = large.join(stuck.withColumnRenamed("before", "region"), "region", "left_semi")
+        again = cells.join(stuck, "before", "left_anti").select("region", F.col("before").alias("_before"), "node", "size")
+        held = large.select(F.col("region").alias("_before"), "node", "members")
+        again = again.join(held, ["_before", "node"]).select("region", "node", "size", "members")
         regions = checked(again.unionByName(_blocks(whole, _sizes(whole))), "jaccard-regions")
         number += 1
     links = found[0]
@@ -463,7 +481,10 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     parts = map_arrow(kept.select("node", "members"), _parts(percent), "key long, node long")
     parts = checked(parts, "jaccard-parts")
     centres = parts.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("key", "a")
-    regions = components(parts.join(centres, "key").select("a", F.col("node").alias("b")), "jaccard-regions")
+    centres = checked(centres, "jaccard-centres")
+    # Most parts are in one set only; they are left out before the join moves anything.
+    equal = restricted(parts, "key", centres.select("key"))
+    regions = components(equal.join(centres, "key").select("a", F.col("node").alias("b")), "jaccard-regions")
     places = checked(regions.join(holders, "node", "left").select("node", F.col("root").alias("region"), "holder"), "jaccard-places")
     members = restricted(kept, "node", places.select("node"))
     held = places.where("holder is not null").join(members.withColumnRenamed("doc_id", "holder"), ["node", "holder"])

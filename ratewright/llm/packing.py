@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ratewright.llm.common import column, crc, map_arrow
+from ratewright.llm.common import column, crc, kept, map_arrow
 
 SEQUENCE = 1024
 BLOCK_TOKENS = 1 << 22
@@ -42,7 +42,7 @@ class Encoder:
     texts with special tokens, are given to the tokenizer whole.
     """
 
-    remembered = 150_000
+    remembered = 700_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -114,14 +114,9 @@ class Encoder:
         return b"".join(out)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One for each worker process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """One for each worker process, until a task of another operator comes."""
+    return kept(__name__, path, lambda: Encoder(path))
 
 
 def capacities(total: int, size: int) -> list[int]:
