@@ -8,12 +8,12 @@
    sets with too few shared members there have no partner and go.
 2. *Far regions.* What is left is cut into parts by hash. Linked sets differ in at most D members, so of more than D parts
    one is equal. Sets with an equal part are chained into regions; no link leaves a region.
-3. *Pivots.* A region that is too large for a task is first cut into shells around the empty set, by size. A shell that is
-   still too large gets pivots. Every set's distance from them is exact, which links sets
+3. *Pivots.* A region that is too large for a task gets pivots. Every set's distance from them is exact, which links sets
    to pivots; the nearest pivot gives the set's Voronoi cell, and since ``d(x, q) - d(x, p) <= 2 * reach`` holds
    for a partner in the cell of q, sets inside that window are copied to q's cell too. Sets that are linked with
    the pivots need no test among each other; of these only those stay whose distances lie within ``reach`` of the range of the others'.
-   Cells are regions again. A region that pivots cannot make smaller is cut into blocks, each pair of blocks a region.
+   Cells are regions again. A region that pivots cannot make smaller is cut into shells by size, the distance from the empty set,
+   and shells that are still too large into blocks, each pair of blocks a region.
 4. *Small regions* are compared within a task, all sets with all.
 
 Nothing is capped: step 3 goes on until all regions are small. Links are kept as trees (they connect what is connected).
@@ -425,12 +425,8 @@ def region_links(regions: DataFrame, percent: int) -> DataFrame:
         if not sizes.where(~_is_small()).head(1):
             break
         # So few regions that their ids, once measured, go to all tasks, and no set is moved.
-        over = small_side(checked(sizes.where(~_is_small()).select("region"), "jaccard-over"))
+        over = small_side(sizes.where(~_is_small()).select("region"))
         large = regions.join(over, "region", "left_semi")
-        if number == 0:
-            regions = checked(_shells(large, percent), "jaccard-shells")
-            number += 1
-            continue
         large = checked(large, "jaccard-large")
         links, cells = _pivot_round(large, percent, number)
         found.append(links)
@@ -438,12 +434,15 @@ def region_links(regions: DataFrame, percent: int) -> DataFrame:
         had = sizes.select(F.col("region").alias("before"), F.col("sets").alias("had"))
         after = _sizes(cells).join(cells.select("region", "before").distinct(), "region").join(had, "before")
         stuck = after.where(~_is_small() & (F.col("sets") > 0.8 * F.col("had"))).select("before").distinct()
-        stuck = small_side(checked(stuck, "jaccard-stuck"))
-        whole = large.join(stuck.withColumnRenamed("before", "region"), "region", "left_semi")
-        again = cells.join(stuck, "before", "left_anti").select("region", F.col("before").alias("_before"), "node", "size")
+        stuck = checked(stuck, "jaccard-stuck")
+        again = cells.join(small_side(stuck), "before", "left_anti").select("region", F.col("before").alias("_before"), "node", "size")
         held = large.select(F.col("region").alias("_before"), "node", "members")
         again = again.join(held, ["_before", "node"]).select("region", "node", "size", "members")
-        regions = checked(again.unionByName(_blocks(whole, _sizes(whole))), "jaccard-regions")
+        if stuck.head(1):
+            whole = large.join(small_side(stuck.select(F.col("before").alias("region"))), "region", "left_semi")
+            shells = checked(_shells(whole, percent), "jaccard-shells")
+            again = again.unionByName(_blocks(shells, _sizes(shells)))
+        regions = checked(again, "jaccard-regions")
         number += 1
     links = found[0]
     for more in found[1:]:
