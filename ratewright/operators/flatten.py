@@ -280,7 +280,13 @@ PAIR_BLOCK = 128
 
 
 def flatten_index(docs: DataFrame, lineage: Mapping[str, str], block: int = PAIR_BLOCK) -> DataFrame:
-    """Plan-to-file bridge: within each structure, every plan with every located file.
+    """Plan-to-file bridge of whole index documents, see :func:`flatten_structures`."""
+    structures = docs.select("source_index_file", *schemas.HEADER_FIELDS, F.posexplode("reporting_structure").alias("structure_no", "s"))
+    return flatten_structures(structures, lineage, block)
+
+
+def flatten_structures(structures: DataFrame, lineage: Mapping[str, str], block: int = PAIR_BLOCK) -> DataFrame:
+    """Plan-to-file bridge: within each structure (``s``, ``structure_no``), every plan with every located file.
 
     That product is the result itself, and one structure may hold most of it.  Structures
     larger than one block are therefore cut into blocks of at most ``block`` plans by
@@ -288,12 +294,7 @@ def flatten_index(docs: DataFrame, lineage: Mapping[str, str], block: int = PAIR
     number of tasks is fixed, since a block is small before it is expanded and adaptive
     execution would merge too many.
     """
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    structures = docs.select(
-        "source_index_file",
-        *schemas.HEADER_FIELDS,
-        F.posexplode("reporting_structure").alias("structure_no", "s"),
-    )
+    tasks = int(structures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     located = F.filter("s.in_network_files", lambda f: P.has_location(f["location"]))
     sides = structures.select(
         "source_index_file",

@@ -75,19 +75,31 @@ def index_files(spark, folder):
 @query("bridge_of_discovered", _BRIDGE_ROWS_SQL)
 def bridge_of_discovered(spark, folder):
     """The bridge of those landed index documents that discovery names, in two runs by a done set."""
-    path = _landed_indexes(spark, folder)
-    landed = rate_files.list_documents(spark, path).select(S.url_filename("path").alias("name"))
-    urls = saved(landed.select(F.concat(F.lit("https://host.example.com/"), "name").alias("url")), "index-urls")
+    path = fresh_folder(spark, "indexes")
+    documents = views.index_documents(spark, folder).drop("source_index_file")
+    _land_objects(documents.select(F.to_json(F.struct("*")).alias("value")), path)
+    urls = _index_urls(rate_files.list_documents(spark, path))
     first = saved(urls.where(F.pmod(F.xxhash64("url"), F.lit(2)) == 0), "first-urls")
-    done = first.select(S.url_filename("url").alias("source"))
-    runs = [refresh.index_paths(spark, path, first), refresh.index_paths(spark, path, urls, done)]
-    parts = [refresh.build_bridge(spark, paths, views.LINEAGE) for paths in runs if paths]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    early = saved(refresh.index_documents(spark, path, first), "early")
+    late = joins.not_done(refresh.index_documents(spark, path, urls), early, "path")
+    whole = None
+    for documents in (early, late):
+        structures = saved(rate_files.explode_index_structures(documents), "structures")
+        part = flatten.flatten_structures(rate_files.structures_from_elements(structures), views.LINEAGE)
+        whole = part if whole is None else whole.unionByName(part)
     return whole.drop("source_index_file")
 
 
+def _land_objects(documents, path):
+    """Each document is a file of its own, in a folder named by its digest."""
+    documents.select(F.sha1("value").alias("file"), "value").write.partitionBy("file").text(path)
+
+
+def _index_urls(landed):
+    """URLs that end with the landed documents' folder and name."""
+    return saved(landed.select(F.concat(F.lit("https://host.example.com/"), F.regexp_extract("path", "([^/]+/[^/]+)$", 1)).alias("url")), "index-urls")
+
+
 @query(
     "split_section_scan",
     f"""WITH {_PROVIDER_SQL} SELECT {_PROVIDER_COLUMNS.replace("source_pricing_file,", "", 1).replace("version AS source_version", "'2.0' AS source_version")}
@@ -310,11 +322,16 @@ def select_manifest(spark, folder):
       SELECT source_pricing_file, 'tic_provider_reference' AS dataset, 0.0 AS rate FROM pairs
       WHERE npi IN (SELECT npi FROM targets)
       UNION ALL SELECT source_pricing_file, 'tic_price', coalesce(negotiated_rate, 0) FROM prices p WHERE {_REF_MATCH})
-    SELECT source_pricing_file, dataset, count(*) AS rows, round(sum(rate), 2) AS rates
-    FROM rows WHERE source_pricing_file IN (SELECT source_pricing_file FROM kept) GROUP BY ALL""",
+    SELECT payer_code, source_pricing_file, dataset, count(*) AS rows, round(sum(rate), 2) AS rates
+    FROM rows, (VALUES ('EARLY'), ('LATE')) AS payers(payer_code)
+    WHERE source_pricing_file IN (SELECT source_pricing_file FROM kept) GROUP BY ALL""",
 )
 def monthly_tables(spark, folder):
-    """The monthly job over landed index and rate documents, run twice; the second run adds nothing."""
+    """The monthly job over landed index and rate documents, run twice.
+
+    A second payer, whose indexes name the same files, comes with the second run, which adds nothing for the first. One index is cut
+    off and one price file is broken: they are failures in the ledger and take nothing with them.
+    """
     base = fresh_folder(spark, "month")
     file = "source_pricing_file"
     references = views.provider_items(spark, folder).select(file, F.lit(1).alias("part"), F.to_json("item").alias("value"))
@@ -330,28 +347,36 @@ def monthly_tables(spark, folder):
     found = rate_files.list_documents(spark, f"{base}/rates")
     place = F.concat(F.lit("https://rates.example.com/"), F.regexp_extract("path", "month=([0-9-]+)/", 1), F.lit("/in-network.json.gz"))
     landed = saved(found.select(place.alias("url"), "path", F.col("length").alias("size_bytes")), "landed")
+    spark.range(1).select(F.lit('{"version": "2.0", "in_network": [{"a"').alias("value")).coalesce(1).write.text(f"{base}/broken")
+    broken = rate_files.list_documents(spark, f"{base}/broken").where("path like '%.txt'").limit(1)
+    broken = broken.select(F.lit("https://rates.example.com/broken/in-network.json").alias("url"), "path", F.col("length").alias("size_bytes"))
+    landed = saved(landed.unionByName(broken), "landed")
 
     entry = F.struct(F.lit("prices").alias("description"), F.col("url").alias("location"))
     plan = F.struct(F.lit("Plan").alias("plan_name"))
     structure = F.struct(F.array(plan).alias("reporting_plans"), F.array(entry).alias("in_network_files"))
     index = landed.select(F.to_json(F.struct(F.array(structure).alias("reporting_structure"))).alias("value"))
-    land_arrays(index, f"{base}/indexes")
-    names = rate_files.list_documents(spark, f"{base}/indexes").select(S.url_filename("path").alias("name"))
+    # Each index is one object; one more is cut off.
+    _land_objects(index, f"{base}/indexes")
+    cut = index.limit(1).select(F.expr("substring(value, 1, length(value) - 2)").alias("value"))
+    cut.coalesce(1).write.text(f"{base}/indexes/file=cut")
     # The list names the landed documents; they are called after their writer, so index names are not asked for.
-    writers.write_url_list(names.select(F.concat(F.lit("https://host.example.com/"), "name").alias("url")), f"{base}/urls")
+    writers.write_url_list(_index_urls(rate_files.list_documents(spark, f"{base}/indexes")), f"{base}/urls")
     registered = views.targets(spark, folder).select(
         F.col("npi").alias("NPI"), F.lit("TX").alias(registry_files.REGISTRY_COLUMNS["practice_state"])
     )
     registered.write.csv(f"{base}/registry", header=True)
 
-    payer = refresh.Payer("PAYER", refresh.Discovery(url_list=f"{base}/urls", keep_names=True), f"{base}/indexes")
-    for run in ("first", "second"):
+    payers = [
+        refresh.Payer(code, refresh.Discovery(url_list=f"{base}/urls", keep_names=True), f"{base}/indexes") for code in ("EARLY", "LATE")
+    ]
+    for run, known in (("first", payers[:1]), ("second", payers)):
         refresh.monthly_refresh(
-            spark, "2026-01", [payer], landed, f"{base}/registry", None, f"{base}/tables", f"{base}/work", "TX", run, "now",
+            spark, "2026-01", known, landed, f"{base}/registry", None, f"{base}/tables", f"{base}/work", "TX", run, "now",
             refresh.Options(states=("TX",), shard_count=3, multi_line=False),
         )
     parts = None
     for dataset, rate in (("tic_provider_reference", F.lit(0.0)), ("tic_price", F.coalesce("negotiated_rate", F.lit(0.0)))):
-        part = lists.read_table(spark, f"{base}/tables/{dataset}", dataset).select(file, F.lit(dataset).alias("dataset"), rate.alias("rate"))
+        part = lists.read_table(spark, f"{base}/tables/{dataset}", dataset).select("payer_code", file, F.lit(dataset).alias("dataset"), rate.alias("rate"))
         parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy(file, "dataset").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("rate"), 2).alias("rates"))
+    return parts.groupBy("payer_code", file, "dataset").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("rate"), 2).alias("rates"))

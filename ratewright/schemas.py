@@ -258,7 +258,9 @@ TABLES = {
 LEDGER = T.StructType(
     _strings("source", "dataset", "status", "detail")
     + [T.StructField("row_count", T.LongType())]
-    + _strings("etl_run_id", "recorded_at")
+    + _strings("etl_run_id", "recorded_at", "payer_code")
+    + [T.StructField("length", T.LongType())]
+    + _strings("terms")
 )
 
 
