@@ -20,8 +20,8 @@ INTEGER = re.compile(r"\s*[+-]?\d+\s*\Z")
 
 def join(value):
     """A list, or a scalar as a list of one, as text with pipes; nothing for null and empty entries."""
-    listed = [value, []][value is None] if isinstance(value, list) or value is None else [value]
-    return "|".join(filter(None, map(text, listed)))
+    entries = value if isinstance(value, list) else [value]
+    return "|".join(text(entry) for entry in entries if text(entry))
 
 
 def number(value):

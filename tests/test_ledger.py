@@ -1,0 +1,61 @@
+"""The ledger as state, and index documents that cannot be read."""
+
+import gzip
+import json
+
+from ratewright import schemas
+from ratewright.operators import flatten, ledger
+from ratewright.plans import refresh, views
+from ratewright.sources import rate_files
+
+FACT = "payer_code string, dataset string, source string, status string, length long, recorded_at string, terms string"
+
+
+def settled(spark, facts, candidates, **options):
+    rows = spark.createDataFrame([(p, "d", s, status, n, at, terms) for p, s, status, n, at, terms in facts], FACT)
+    wanted = spark.createDataFrame(candidates, "payer_code string, source string, length long")
+    found = ledger.with_state(wanted, rows, "d", **options).collect()
+    assert len(found) == len(candidates)
+    return {(r.payer_code, r.source, r.length) for r in found if r.settled}
+
+
+def test_state_is_by_payer_content_and_terms(spark):
+    facts = [
+        ("A", "f", "started", 5, "1", None), ("A", "f", "done", 5, "1", None),
+        ("A", "r", "rejected", 5, "1", "t"), ("A", "s", "started", 5, "1", None),
+        ("A", "x", "failed", 5, "1", None), ("A", "x", "failed", 5, "2", None), ("A", "x", "failed", 5, "3", None),
+        ("A", "y", "failed", 5, "1", None), ("A", "z", "done", 5, "1", None), ("A", "z", "failed", 6, "2", None),
+        (None, "n", "done", None, "1", None),
+    ]
+    names = "frsxyzn"
+    candidates = [(p, s, n) for p in ("A", "B", "") for s in names for n in (5, 6)]
+    found = settled(spark, facts, candidates, terms="t")
+    # A length that is not recorded holds for any content.
+    assert found == {("A", "f", 5), ("A", "r", 5), ("A", "x", 5), ("", "n", 5), ("", "n", 6)}
+    assert ("A", "r", 5) not in settled(spark, facts, candidates, terms="other")
+    assert ("A", "y", 5) in settled(spark, facts, candidates, terms="t", tries=1)
+    assert settled(spark, [], candidates) == set()
+
+
+def test_indexes_by_structure(spark, tmp_path):
+    """Whole, cut and undecompressable documents; one name in two folders belongs to two URLs."""
+    structure = {"reporting_plans": [{"plan_name": "P"}], "in_network_files": [{"location": "https://h/x.json", "description": "d"}]}
+    whole = json.dumps({"reporting_entity_name": "E", "reporting_structure": [structure, structure], "version": "1"})
+    base = tmp_path / "landed"
+    for name, data in {
+        "a/one_index.json": whole.encode(), "b/one_index.json": whole[:-3].encode(), "bad_index.json.gz": b"no gzip stream",
+        "cut_index.json.gz": gzip.compress(whole.encode() * 50)[:60], "other_index.json": whole.encode(),
+    }.items():
+        (base / name).parent.mkdir(parents=True, exist_ok=True)
+        (base / name).write_bytes(data)
+    names = lambda df: sorted(r.path.split("/landed/")[1] for r in df.collect())
+    url = lambda *paths: spark.createDataFrame([(f"https://h/{p}?sig=1",) for p in paths], "url string")
+    assert names(refresh.index_documents(spark, str(base), url("a/one_index.json", "elsewhere/other_index.json"))) == ["a/one_index.json", "other_index.json"]
+    documents = refresh.index_documents(spark, str(base), url("a/one_index.json", "b/one_index.json", "bad_index.json.gz", "cut_index.json.gz"))
+    for options in ({}, {"split_bytes": 0, "block_bytes": 64}):
+        elements = rate_files.explode_index_structures(documents, **options)
+        rows = flatten.flatten_structures(rate_files.structures_from_elements(elements), views.LINEAGE).collect()
+        assert [(r.source_index_file, r.plan_name, r.location, r.reporting_entity_name) for r in rows] == [("one_index.json", "P", "https://h/x.json", "E")] * 2
+        broken = {r.source.split("/landed/")[1] for r in rate_files.broken_sources(elements).collect()}
+        assert broken >= {"b/one_index.json", "bad_index.json.gz", "cut_index.json.gz"}
+    assert schemas.LEDGER["payer_code"] is not None
