@@ -247,23 +247,29 @@ def linked(both, one, other, percent: int):
     return 100 * both >= percent * (one + other - both)
 
 
+def _shared_members(sets: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Members of two sets or more, as ascending numbers from 0, and the sets that hold them; others add nothing to what two sets share."""
+    member = np.concatenate(sets)
+    order = np.argsort(member, kind="stable").astype(np.int32 if len(member) < 1 << 31 else np.int64)
+    member = member[order]
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order]
+    del order
+    same = member[1:] == member[:-1]
+    none = np.zeros(1, bool)
+    before, after = np.concatenate([none, same]), np.concatenate([same, none])
+    kept = before | after
+    return np.cumsum(~before[kept], dtype=np.int64) - 1, owner[kept]
+
+
 def tree_of(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect whatever all links among these sets connect."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    member, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    _, member, times = np.unique(member, return_inverse=True, return_counts=True)
+    member, owner = _shared_members(sets, sizes)
     both = np.zeros((len(sets), len(sets)), np.float32)
-    # Members of one set only add nothing to what two sets share.
-    shared = np.flatnonzero(times > 1)
-    renamed = np.full(len(times), -1, np.int64)
-    renamed[shared] = np.arange(len(shared))
-    member = renamed[member]
-    owner, member = owner[member >= 0], member[member >= 0]
-    order = np.argsort(member, kind="stable")
-    owner, member = owner[order], member[order]
-    for low in range(0, len(shared), 8192):
-        some = slice(*np.searchsorted(member, [low, low + 8192]))
-        block = np.zeros((len(sets), min(8192, len(shared) - low)), np.float32)
+    last = int(member[-1]) + 1 if len(member) else 0
+    for low in range(0, last, 2048):
+        some = slice(*np.searchsorted(member, [low, low + 2048]))
+        block = np.zeros((len(sets), min(2048, last - low)), np.float32)
         block[owner[some], member[some] - low] = 1
         both += block @ block.T
     links = linked(both.astype(np.int64), sizes[:, None], sizes[None, :], percent)
