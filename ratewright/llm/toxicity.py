@@ -349,15 +349,12 @@ def candidates(text: bytes) -> set[str]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled texts with each plain word, by label; equal texts of a task count once."""
+    """Labelled texts with each plain word, by label."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
-    seen: set[int] = set()
     for batch in batches:
         for text, label in zip(texts_of(batch), column(batch, "label"), strict=True):
-            if (key := hash((text, label))) not in seen:
-                seen.add(key)
-                counts[int(label)].update(candidates(text))
-                counts[int(label)][""] += 1
+            counts[int(label)].update(candidates(text))
+            counts[int(label)][""] += 1
     for label in (0, 1):
         if counts[label]:
             yield pa.record_batch(
@@ -399,14 +396,16 @@ def _logistic(rows: list[list[str]], labels: np.ndarray, words: list[str], round
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, left_out: int = 2, bound: int = BOUND) -> Marks:
     """Character counts of all texts; marked words and weights of at most ``bound`` labelled ones.
 
-    A word is a candidate where its documents' share of label 1 stands out by over five standard errors.
+    A word is a candidate where its documents' share of label 1 stands out by over five standard errors; equal texts
+    of a label count once, whichever tasks read them, so the marks do not depend on how rows are divided.
     """
     grams = map_arrow(docs.select("text"), _character_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(_ALPHABET**3)
     counts[grams["gram"].to_numpy()] = grams["n"].to_numpy()
     texts = labelled_texts(docs, labels, label, modulus, left_out, bound)
+    different = texts.withColumn("text", F.coalesce("text", F.lit(""))).dropDuplicates(["text", "label"])
     by_word = (
-        map_arrow(texts, _word_counts, "word string, label int, n long")
+        map_arrow(different, _word_counts, "word string, label int, n long")
         .groupBy("word")
         .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("up"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("down"))
     )
@@ -427,7 +426,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
     )
     words = sorted(r["word"] for r in listed)
     held = map_arrow(texts, _presence(set(words)), "words array<string>, label double").toArrow()
-    rows, marks = held["words"].to_pylist(), held["label"].to_numpy()
+    # In one order, so that sums are the same to the last digit.
+    ordered = sorted(zip(held["words"].to_pylist(), held["label"].to_pylist(), strict=True))
+    rows, marks = [row for row, _ in ordered], np.array([mark for _, mark in ordered])
     weights, base = _logistic(rows, marks, words)
     return Marks(weights, base, CharacterModel.build(counts, {w: x for w, x in weights.items() if w.isalpha()}))
 

@@ -46,6 +46,22 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([s >= 0.3 for s, y in held if not y]) < 0.02
 
 
+def test_toxicity_marks_do_not_depend_on_partitions(spark):
+    """Copies of a few texts, in one task and in many, give the same words, weights and scores."""
+    rng = random.Random(5)
+    words = ["about", "text", "gardens", "river", "stone", "bread", "lamp", "glass"]
+    plain = [" ".join(rng.choices(words, k=12)) for _ in range(60)]
+    rows = [(k, plain[k % 60] + (" vile" if k % 60 < 20 else "")) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 60 < 20)) for k, _ in rows], "doc_id long, toxic int")
+    found = []
+    for parts in (1, 8, 3):
+        marks = toxicity.fit(docs.repartition(parts, "doc_id"), labels)
+        found.append((marks.weights, marks.base, sorted(tuple(r) for r in toxicity.score(docs, marks).select("doc_id", "score").collect())))
+    assert found[0] == found[1] == found[2]
+    assert list(found[0][0]) == ["vile"]
+
+
 def test_language_on_held_out_rows(spark):
     where = folder("sf0.01")
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "lang").collect()}
