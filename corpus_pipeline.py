@@ -1,11 +1,14 @@
 """From raw documents to packed training sequences: five stages, each one operator of ``ratewright.llm``.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read again as the
-next stage's ``docs``. All stages but the last return the columns of documents.
+next stage's ``docs``. All stages but the last return the columns of documents, with the documents' own values: a
+column that is named like one that a stage adds is neither read nor replaced by it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ratewright.llm import decontamination, jaccard, packing, quality, toxicity
@@ -13,16 +16,27 @@ from ratewright.llm.common import checked
 from ratewright.llm.queries import table, tokenizer_file
 
 
+def named_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``doc_id`` and ``text`` as they are and the other columns under names that no stage uses."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"_own_{k}" for k, c in enumerate(docs.columns)])
+
+
+def judged(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], kept: str) -> DataFrame:
+    """The documents of which ``kept`` holds after ``judge`` has added its columns."""
+    apart = named_apart(docs)
+    return judge(apart).where(kept).select(apart.columns).toDF(*docs.columns)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose score is under the cut."""
-    ranking = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, ranking).where(f"score >= {quality.CUT}").select(docs.columns)
+    ranking = quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return judged(docs, lambda apart: quality.score(apart, ranking), f"score >= {quality.CUT}")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that are toxic as written or behind their spelling."""
-    marks = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, marks).where(f"score < {toxicity.CUT}").select(docs.columns)
+    marks = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return judged(docs, lambda apart: toxicity.score(apart, marks), f"score < {toxicity.CUT}")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +46,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a window of a benchmark item."""
-    found = decontamination.find_passages(docs, table(spark, sf_dir, "benchmark"))
-    return found.where("size(hits) = 0").select(docs.columns)
+    benchmark = table(spark, sf_dir, "benchmark")
+    return judged(docs, lambda apart: decontamination.find_passages(apart, benchmark), "size(hits) = 0")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
