@@ -50,4 +50,7 @@ def test_clashing_and_missing_values(spark, small):
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string, worth double, hits array<int>")
     for name, stage in C.STAGES[:-1]:
         out = stage(spark, docs, small)
-        assert out.count() <= 4, name
+        assert out.schema.names == docs.schema.names
+        assert [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+        left = out.collect()
+        assert len(left) <= 4 and all(tuple(r) in rows for r in left), name
