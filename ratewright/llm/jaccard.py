@@ -489,7 +489,9 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     centres = checked(centres, "jaccard-centres")
     # Most parts are in one set only; they are left out before the join moves anything.
     equal = restricted(parts, "key", centres.select("key"))
-    regions = components(equal.join(centres, "key").select("a", F.col("node").alias("b")), "jaccard-regions")
+    # Copies share most of their parts: each link is told once, not once by each task that reads some of its parts.
+    alike = equal.join(centres, "key").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+    regions = components(alike, "jaccard-regions")
     places = checked(regions.join(holders, "node", "left").select("node", F.col("root").alias("region"), "holder"), "jaccard-places")
     members = restricted(kept, "node", places.select("node"))
     held = places.where("holder is not null").join(members.withColumnRenamed("doc_id", "holder"), ["node", "holder"])
