@@ -510,6 +510,16 @@ def section_scan(spark, folder):
     )
 
 
+@query("long_items", f"WITH {_PROVIDER_SQL} SELECT {_LANDED_SQL} FROM pairs")
+def long_items(spark, folder):
+    """Whole documents whose items are longer than allowed, so that each is told in pieces of its groups."""
+    path = fresh_folder(spark, "long-items")
+    land_documents(views.provider_items(spark, folder), "provider_references", path)
+    elements = rate_files.explode_rate_sections(rate_files.list_documents(spark, path), item_bytes=64)
+    items = rate_files.items_from_elements(elements, "provider_references")
+    return flatten.flatten_provider_references(items, views.LINEAGE).drop("source_pricing_file")
+
+
 # ---------------------------------------------------------------- signals and counters
 
 _SIGNALS_SQL = f"""{_PROVIDER_SQL}, {_PRICE_SQL},
