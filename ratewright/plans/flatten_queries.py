@@ -447,7 +447,7 @@ def price_from_elements(spark, folder):
 # ---------------------------------------------------------------- through whole documents
 
 #: Elements of a landed document; the number of documents follows the input.
-DOCUMENT_ELEMENTS = 2_000
+DOCUMENT_ELEMENTS = 20_000
 
 
 def land_documents(items, section, path):

@@ -21,3 +21,10 @@ def test_indexes_of_one_header_land_as_one_document(spark, small):
     each = lambda d: d.select(*schemas.HEADER_FIELDS, F.explode("reporting_structure").alias("s"))
     rows = lambda d: sorted(map(str, d.select(F.to_json(F.struct("*"))).collect()))
     assert rows(each(read)) == rows(each(documents.select(*read.columns)))
+
+
+def test_documents_hold_many_elements(spark, small, tmp_path):
+    items = views.provider_items(spark, small)
+    many = items.crossJoin(spark.range(4)).withColumn("ordinal", F.concat("ordinal", F.col("id").cast("string"))).drop("id")
+    flatten_queries.land_documents(many, "provider_references", str(tmp_path / "documents"))
+    assert len(list((tmp_path / "documents").glob("document=*"))) <= many.count() // 20_000 + 2
