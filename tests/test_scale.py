@@ -28,3 +28,19 @@ def test_documents_hold_many_elements(spark, small, tmp_path):
     many = items.crossJoin(spark.range(4)).withColumn("ordinal", F.concat("ordinal", F.col("id").cast("string"))).drop("id")
     flatten_queries.land_documents(many, "provider_references", str(tmp_path / "documents"))
     assert len(list((tmp_path / "documents").glob("document=*"))) <= many.count() // 20_000 + 2
+
+
+def test_headers_meet_elements_without_a_shuffle(spark):
+    elements = spark.range(100).select(
+        F.concat(F.lit("f"), (F.col("id") % 1).cast("string")).alias("source_pricing_file"), F.when(F.col("id") == 0, "header").otherwise("in_network").alias("section"),
+        F.col("id").alias("ordinal"), F.lit('{"billing_code": "1", "version": "2.0"}').alias("element_json"),
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = rate_files.items_from_elements(elements, "in_network")
+        plan = items._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert items.where("version = '2.0'").count() == 99
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
