@@ -30,16 +30,16 @@ from ratewright.streaming.incremental import load_incremental
 _BRIDGE_ROWS_SQL = f"WITH {BRIDGE_SQL} SELECT * EXCLUDE (source_index_file) FROM bridge"
 
 #: Documents in a landed file; the number of files follows the input.
-FILE_DOCUMENTS = 500
+FILE_DOCUMENTS = 10_000
 
 
-def land_arrays(documents, path, begin="[", between=",", end="]"):
+def land_arrays(documents, path, begin="[", between=",", end="]", compression=None):
     """Documents are text; so many of them are a file, by default one JSON array."""
     files = documents.count() // FILE_DOCUMENTS + 2
     file = F.pmod(F.xxhash64("value"), F.lit(files)).alias("file")
     grouped = documents.select(file, "value").groupBy("file").agg(F.collect_list("value").alias("values"))
     lines = grouped.select("file", F.concat(F.lit(begin), F.array_join("values", between), F.lit(end)).alias("value"))
-    lines.write.partitionBy("file").text(path)
+    lines.write.partitionBy("file").text(path, compression=compression)
     return path
 
 
@@ -54,7 +54,8 @@ def rate_files_read(spark, folder):
     """Provider rows of small documents, through the JSON reader."""
     items = views.provider_items(spark, folder)
     document = F.struct(*schemas.HEADER_FIELDS, F.array(F.lit(None), F.col("item")).alias("provider_references"))
-    path = land_arrays(items.select(F.to_json(document).alias("value")), fresh_folder(spark, "rate-files"))
+    # Rate files are published as gzip streams. Of plain files the JSON reader fetches each list that is read as text by a read of its own.
+    path = land_arrays(items.select(F.to_json(document).alias("value")), fresh_folder(spark, "rate-files"), compression="gzip")
     docs = rate_files.read_rate_files(spark, path, ("provider_references",))
     rows = flatten.flatten_provider_references(rate_files.items_of(docs, "provider_references"), views.LINEAGE)
     return rows.drop("source_pricing_file")

@@ -44,3 +44,10 @@ def test_headers_meet_elements_without_a_shuffle(spark):
         assert items.where("version = '2.0'").count() == 99
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_arrays_can_land_as_gzip(spark, tmp_path):
+    texts = spark.range(1200).select(F.format_string('{"version": "%d"}', "id").alias("value"))
+    path = stored_queries.land_arrays(texts, str(tmp_path / "arrays"), compression="gzip")
+    assert len(files_below(tmp_path, ".txt.gz")) <= 2
+    assert rate_files.read_rate_files(spark, path, ()).select("version").distinct().count() == 1200
