@@ -51,3 +51,9 @@ def test_arrays_can_land_as_gzip(spark, tmp_path):
     path = stored_queries.land_arrays(texts, str(tmp_path / "arrays"), compression="gzip")
     assert len(files_below(tmp_path, ".txt.gz")) <= 2
     assert rate_files.read_rate_files(spark, path, ()).select("version").distinct().count() == 1200
+
+
+def test_staged_elements_are_packed_tightly(spark, tmp_path):
+    row = spark.createDataFrame([("f", "header", 0, "{}")], schemas.ELEMENT)
+    rate_files.stage_rate_elements(row, str(tmp_path / "staged"))
+    assert files_below(tmp_path, ".zstd.parquet")
