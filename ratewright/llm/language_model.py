@@ -11,7 +11,7 @@ Tokens are words (``common.words_of``), then one end of the text. The output is
 Counts (of every word of all training texts) are added up by hash in Spark. The network is trained by truncated
 backpropagation: in each of ``ROUNDS`` rounds, tasks start from the same weights, go through their own share of the training
 texts, and the results are averaged by tokens. A round takes 1/``PORTION`` of the training texts, or more where that is under
-``LEAST`` tokens, so training grows with the input.
+``LEAST`` tokens; ``PORTION`` is ``ROUNDS``, so the rounds together take every training text.
 
 Scoring carries the state across windows from the first token of a text to its end. Head words' shares are known to
 every task (a table of bounded size); the tail's are found by one shuffle of each text's distinct tail words.
@@ -37,7 +37,7 @@ from ratewright.llm.common import checked, column, crc_remainder, hashed_words,
 FRONT, GROUP = 1024, 32
 HEAD = 1 << 17
 HIDDEN = 32
-ROUNDS, PORTION, LEAST = 4, 64, 1_000_000
+ROUNDS, PORTION, LEAST = 4, 4, 1_000_000
 #: Averages meet in groups of so many, again and again.
 FAN = 32
 END = np.uint64(0x454E44)
@@ -293,8 +293,8 @@ class Network:
 # ---------------------------------------------------------------- training
 
 
-def train_on(net: Network, reader: Reader, texts: Iterator[list[bytes]], rate: float, lanes: int = 64, window: int = 20) -> int:
-    """Adam steps over windows of ``lanes`` parallel streams; returns the tokens used."""
+def train_on(net: Network, reader: Reader, texts: Iterator[list[bytes]], rate: float, lanes: int = 64, window: int = 20, widest: int = 256) -> int:
+    """Adam steps over windows of ``lanes`` parallel streams, more for long groups, so that a token costs less; returns the tokens used."""
     mean, square, done, used = np.zeros(net.size, np.float32), np.zeros(net.size, np.float32), 0, 0
     for group in texts:
         _, ranks, n = reader.ranks(group)
@@ -303,7 +303,7 @@ def train_on(net: Network, reader: Reader, texts: Iterator[list[bytes]], rate: f
         first[np.concatenate([[0], np.cumsum(n)[:-1]])] = True
         before = np.concatenate([[_BEGIN], symbols[:-1]])
         before[first] = _BEGIN
-        wide = min(lanes, max(1, len(ranks) // window))
+        wide = min(max(lanes, min(widest, len(ranks) // (100 * window))), max(1, len(ranks) // window))
         length = len(ranks) // wide
         shape = lambda x: x[: wide * length].reshape(wide, length).T  # noqa: B023, E731
         before, first, own, within = shape(before), shape(first), shape(own), shape(within)

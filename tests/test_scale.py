@@ -23,13 +23,6 @@ def test_indexes_of_one_header_land_as_one_document(spark, small):
     assert rows(each(read)) == rows(each(documents.select(*read.columns)))
 
 
-def test_documents_hold_many_elements(spark, small, tmp_path):
-    items = views.provider_items(spark, small)
-    many = items.crossJoin(spark.range(4)).withColumn("ordinal", F.concat("ordinal", F.col("id").cast("string"))).drop("id")
-    flatten_queries.land_documents(many, "provider_references", str(tmp_path / "documents"))
-    assert len(list((tmp_path / "documents").glob("document=*"))) <= many.count() // 20_000 + 2
-
-
 def test_headers_meet_elements_without_a_shuffle(spark):
     elements = spark.range(100).select(
         F.concat(F.lit("f"), (F.col("id") % 1).cast("string")).alias("source_pricing_file"), F.when(F.col("id") == 0, "header").otherwise("in_network").alias("section"),
@@ -46,6 +39,19 @@ def test_headers_meet_elements_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_staged_elements_are_packed_tightly(spark, tmp_path):
+    row = spark.createDataFrame([("f", "header", 0, "{}")], schemas.ELEMENT)
+    rate_files.stage_rate_elements(row, str(tmp_path / "staged"))
+    assert files_below(tmp_path, ".zstd.parquet")
+
+
+def test_documents_hold_many_elements(spark, small, tmp_path):
+    items = views.provider_items(spark, small)
+    many = items.crossJoin(spark.range(4)).withColumn("ordinal", F.concat("ordinal", F.col("id").cast("string"))).drop("id")
+    flatten_queries.land_documents(many, "provider_references", str(tmp_path / "documents"))
+    assert len(list((tmp_path / "documents").glob("document=*"))) <= many.count() // 20_000 + 2
+
+
 def test_arrays_can_land_as_gzip(spark, tmp_path):
     texts = spark.range(1200).select(F.format_string('{"version": "%d"}', "id").alias("value"))
     path = stored_queries.land_arrays(texts, str(tmp_path / "arrays"), compression="gzip")
@@ -53,7 +59,5 @@ def test_arrays_can_land_as_gzip(spark, tmp_path):
     assert rate_files.read_rate_files(spark, path, ()).select("version").distinct().count() == 1200
 
 
-def test_staged_elements_are_packed_tightly(spark, tmp_path):
-    row = spark.createDataFrame([("f", "header", 0, "{}")], schemas.ELEMENT)
-    rate_files.stage_rate_elements(row, str(tmp_path / "staged"))
-    assert files_below(tmp_path, ".zstd.parquet")
+def test_rounds_take_every_training_text():
+    assert language_model.ROUNDS >= language_model.PORTION
