@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.common import checked, column, give_back, hashed_words, map_arrow, mix, most_frequent, slices, texts_of
+from ratewright.llm.common import checked, column, discard, give_back, hashed_words, map_arrow, mix, most_frequent, slices, texts_of
 from ratewright.llm.graph import components
 from ratewright.operators.joins import small_side
 
@@ -453,7 +453,8 @@ def region_links(regions: DataFrame, percent: int) -> DataFrame:
     links = found[0]
     for more in found[1:]:
         links = links.union(more)
-    return links
+    # Stored, so that no task holds a Python worker for its regions and one more for what follows: workers stay, and keep tables of their own.
+    return checked(links, "jaccard-region-links")
 
 
 # ---------------------------------------------------------------- the join
@@ -475,6 +476,7 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     repeated = checked(fronts.groupBy("key").count().where("count > 1").select("key"), "jaccard-repeated")
     enough = F.col("count") >= 1 + F.floor(F.ceil(F.lit(percent) * F.col("size") / 100) / 16)
     able = checked(restricted(fronts, "key", repeated).groupBy("node", "size").count().where(enough).select("node"), "jaccard-able")
+    discard(fronts, repeated)
 
     # The members of a set come from one document; what else gets through the bitmap is left out at the next join.
     named = sets.where("doc_id is not null").join(able, "node", "left_semi")
@@ -492,13 +494,16 @@ def join_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     # Copies share most of their parts: each link is told once, not once by each task that reads some of its parts.
     alike = equal.join(centres, "key").select("a", F.col("node").alias("b")).where("a <> b").distinct()
     regions = components(alike, "jaccard-regions")
+    discard(parts, centres)
     places = checked(regions.join(holders, "node", "left").select("node", F.col("root").alias("region"), "holder"), "jaccard-places")
     members = restricted(kept, "node", places.select("node"))
     held = places.where("holder is not null").join(members.withColumnRenamed("doc_id", "holder"), ["node", "holder"])
     lone = places.where("holder is null").drop("holder").join(members.where("doc_id is null"), "node")
     wanted = ("node", "region", "size", "members")
-    near = held.select(*wanted).union(lone.select(*wanted))
-    links = region_links(checked(near, "jaccard-near"), percent)
+    near = checked(held.select(*wanted).union(lone.select(*wanted)), "jaccard-near")
+    discard(kept, places, holders, able)
+    links = region_links(near, percent)
+    discard(near)
     roots = components(links, "jaccard-links")
 
     by_node = sets.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("least"))

@@ -119,3 +119,26 @@ def test_blocks_cover_all_pairs(spark, monkeypatch):
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert J.join_texts(empty).count() == 0
+
+
+def test_tables_are_deleted_once_read(spark, monkeypatch):
+    """Tables of n-grams, sets and parts are gone when the join returns, and the rows are whole without them."""
+    import os
+
+    stored = {}
+    checked = J.checked
+    monkeypatch.setattr(J, "checked", lambda df, label: stored.setdefault(label, checked(df, label)))
+    docs = list(enumerate(texts(3, 20, 4, 50, 3)))
+    found = J.join_texts(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85)
+    left = [label for label, table in stored.items() if any(os.path.exists(f.removeprefix("file:").replace("//", "/")) for f in table.inputFiles())]
+    gone = {"jaccard-fronts", "jaccard-repeated", "jaccard-kept", "jaccard-parts", "jaccard-centres", "jaccard-places", "jaccard-near"}
+    assert gone <= set(stored) and not gone & set(left)
+    assert sorted(map(tuple, found.collect()), key=str) == brute(docs, 4, 85)
+
+
+def test_regions_and_trees_are_told_by_different_stages(spark):
+    """A task runs one Python function: workers are reused, so a second one in a task would stay with tables of its own."""
+    rows = [(1, k, 2, np.array([5, 6], np.uint64).tobytes()) for k in range(4)]
+    regions = spark.createDataFrame(rows, "region long, node long, size int, members binary")
+    plan = J.region_links(regions, 80)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" not in plan
