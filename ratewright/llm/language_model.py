@@ -48,6 +48,8 @@ TAIL = CLASSES - 1
 #: Input symbols: front words, then classes of the others, then the beginning of a text.
 SYMBOLS = FRONT + _BANDS + 2
 _BEGIN = SYMBOLS - 1
+#: Rows whose class shares are worked out at once, so that they stay in the cache.
+_ROWS = 4000
 
 
 # ---------------------------------------------------------------- counts
@@ -154,12 +156,51 @@ class Reader:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    """Sums of each column of a multiple of 8 rows, added in the order that numpy takes along a row: eight running sums, then pairs."""
+    sums = x.reshape(-1, 8, x.shape[1]).sum(axis=0)
+    while len(sums) > 1:
+        sums = sums[::2] + sums[1::2]
+    return sums[0]
+
+
+def _log_softmax_columns(x: np.ndarray) -> np.ndarray:
+    """In place; a few operations on long rows cost much less than many on short ones."""
+    x -= x.max(axis=0)
+    x -= np.log(_column_sums(np.exp(x)))
+    return x
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    """Of each row."""
+    return _log_softmax_columns(np.array(x.T, order="C")).T
+
+
+def _sums_by_symbol(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``np.add.reduceat(rows, starts, axis=0)``; the many short groups are added up together by size, in the same order."""
+    found = np.empty((len(starts), rows.shape[1]), rows.dtype)
+    sizes = np.diff(starts, append=len(rows))
+    for size in range(1, 9):
+        which = np.flatnonzero(sizes == size)
+        if len(which):
+            at = starts[which]
+            rest = rows[at + 1] if size > 1 else None
+            for k in range(2, size):
+                rest += rows[at + k]
+            found[which] = rows[at] if rest is None else rows[at] + rest
+    which = np.flatnonzero(sizes > 8)
+    if len(which):
+        bounds = np.stack([starts[which], starts[which] + sizes[which]], axis=1).ravel()
+        found[which] = np.add.reduceat(rows, bounds[:-1] if bounds[-1] == len(rows) else bounds, axis=0)[::2]
+    return found
 
 
 class Network:
@@ -209,27 +250,53 @@ class Network:
     def inputs(self) -> np.ndarray:
         return self.embed @ self.into + self.bias
 
+    @staticmethod
+    def by_gate(x: np.ndarray) -> np.ndarray:
+        """The columns of each gate by themselves: gate x row x unit."""
+        return np.array(x.reshape(len(x), 3, HIDDEN).transpose(1, 0, 2), order="C")
+
     def step(self, given: np.ndarray, state: np.ndarray):
-        gates = state @ self.again
-        both = _sigmoid(given[:, : 2 * HIDDEN] + gates[:, : 2 * HIDDEN])
-        keep, reset = both[:, :HIDDEN], both[:, HIDDEN:]
-        back = gates[:, 2 * HIDDEN :]
-        new = np.tanh(given[:, 2 * HIDDEN :] + reset * back)
-        return new + keep * (state - new), (keep, reset, back, new)
+        """The state after one token of each lane, and what slopes need of the gates; ``given`` are rows of ``inputs()``."""
+        return self.advance(self.by_gate(given), state, self.by_gate(self.again))
+
+    def advance(self, given: np.ndarray, state: np.ndarray, again: np.ndarray):
+        """``step`` with ``given`` and ``again`` by gate; works in ``given``."""
+        back = state @ again
+        both, new = given[:2], given[2]
+        both += back[:2]
+        keep, reset = _sigmoid(both)
+        new += reset * back[2]
+        np.tanh(new, out=new)
+        after = state - new
+        after *= keep
+        after += new
+        return after, (keep, reset, back[2], new)
+
+    def word_logits(self, rows: np.ndarray, edges: list[int]) -> np.ndarray:
+        """Word x row; ``rows`` are states by front class, class k's from ``edges[k]`` on."""
+        logits = np.empty((GROUP, len(rows)), rows.dtype)
+        for k in range(_TOPS):
+            if edges[k] < edges[k + 1]:
+                some = logits[:, edges[k] : edges[k + 1]]
+                np.matmul(self.by_word[k].T, rows[edges[k] : edges[k + 1]].T, out=some)
+                some += self.word_bias[k][:, None]
+        return logits
 
     def log_shares(self, states: np.ndarray, own: np.ndarray, within: np.ndarray) -> np.ndarray:
         """Natural log of class share times, for front classes, the word's share."""
-        logits = states @ self.by_class + self.class_bias
-        top = logits.max(axis=1)
-        found = logits[np.arange(len(own)), own] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        front = np.flatnonzero(within >= 0)
-        order = front[np.argsort(own[front], kind="stable")]
-        edges = np.searchsorted(own[order], np.arange(_TOPS + 1))
-        for k in range(_TOPS):
-            some = order[edges[k] : edges[k + 1]]
-            if len(some):
-                words = _log_softmax(states[some] @ self.by_word[k] + self.word_bias[k])
-                found[some] += words[np.arange(len(some)), within[some]]
+        by_row, found = states @ self.by_class, np.empty(len(own), states.dtype)
+        for at in range(0, len(own), _ROWS):
+            some = slice(at, at + _ROWS)
+            logits = np.array(by_row[some].T, order="C")
+            logits += self.class_bias[:, None]
+            top = logits.max(axis=0)
+            found[some] = logits[own[some], np.arange(logits.shape[1])] - top
+            logits -= top
+            found[some] -= np.log(_column_sums(np.exp(logits, out=logits)))
+        order, edges = _by_class(own, within)
+        if len(order):
+            words = _log_softmax_columns(self.word_logits(states[order], edges))
+            found[order] += words[within[order], np.arange(len(order))]
         return found
 
     def slopes(self, symbols, first, own, within, state) -> tuple[np.ndarray, np.ndarray]:
@@ -237,65 +304,101 @@ class Network:
         steps, lanes = symbols.shape
         grad = np.zeros(self.size, np.float32)
         g = self.views(grad)
-        given = self.inputs()[symbols]
-        states = np.empty((steps, lanes, HIDDEN), np.float32)
-        past, saved = [], []
+        given, again = np.take(self.by_gate(self.inputs()), symbols, axis=1), self.by_gate(self.again)
+        kind = given.dtype
+        states = np.empty((steps, lanes, HIDDEN), kind)
+        past, saved = np.empty((steps, lanes, HIDDEN), kind), []
+        begun = [np.flatnonzero(row) for row in first]
         for t in range(steps):
-            state = np.where(first[t][:, None], 0, state)
-            past.append(state)
-            state, parts = self.step(given[t], state)
+            past[t] = state
+            past[t][begun[t]] = 0
+            state, parts = self.advance(given[:, t], past[t], again)
             saved.append(parts)
             states[t] = state
         flat, own, within = states.reshape(-1, HIDDEN), own.ravel(), within.ravel()
         n = len(flat)
-        wrong = np.exp(_log_softmax(flat @ self.by_class + self.class_bias))
-        wrong[np.arange(n), own] -= 1
+        wrong = np.array((flat @ self.by_class).T, order="C")
+        wrong += self.class_bias[:, None]
+        wrong = np.exp(_log_softmax_columns(wrong), out=wrong)
+        wrong[own, np.arange(n)] -= 1
         wrong /= n
+        wrong = np.ascontiguousarray(wrong.T)
         g["by_class"][...] = flat.T @ wrong
         g["class_bias"][...] = wrong.sum(axis=0)
         down = wrong @ self.by_class.T
-        front = np.flatnonzero(within >= 0)
-        order = front[np.argsort(own[front], kind="stable")]
-        edges = np.searchsorted(own[order], np.arange(_TOPS + 1))
-        for k in range(_TOPS):
-            some = order[edges[k] : edges[k + 1]]
-            if len(some):
-                words = np.exp(_log_softmax(flat[some] @ self.by_word[k] + self.word_bias[k]))
-                words[np.arange(len(some)), within[some]] -= 1
-                words /= n
-                g["by_word"][k] = flat[some].T @ words
-                g["word_bias"][k] = words.sum(axis=0)
-                down[some] += words @ self.by_word[k].T
+        order, edges = _by_class(own, within)
+        if len(order):
+            rows = flat[order]
+            words = self.word_logits(rows, edges)
+            words = np.exp(_log_softmax_columns(words), out=words)
+            words[within[order], np.arange(len(order))] -= 1
+            words /= n
+            words = np.ascontiguousarray(words.T)
+            more = np.empty_like(rows)
+            for k in range(_TOPS):
+                if edges[k] < edges[k + 1]:
+                    some = slice(edges[k], edges[k + 1])
+                    g["by_word"][k] = rows[some].T @ words[some]
+                    g["word_bias"][k] = words[some].sum(axis=0)
+                    np.matmul(words[some], self.by_word[k].T, out=more[some])
+            down[order] += more
         down = down.reshape(steps, lanes, HIDDEN)
-        to_given = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
-        later = np.zeros((lanes, HIDDEN), np.float32)
+        to_given = np.empty((steps, lanes, 3 * HIDDEN), kind)
+        gates = np.empty((lanes, 3 * HIDDEN), kind)
+        later = np.zeros((lanes, HIDDEN), kind)
+        rest = np.empty((lanes, HIDDEN), kind)
         for t in range(steps - 1, -1, -1):
             keep, reset, back, new = saved[t]
-            d = down[t] + later
-            d_new = d * (1 - keep) * (1 - new * new)
-            d_keep = d * (past[t] - new) * keep * (1 - keep)
-            d_reset = d_new * back * reset * (1 - reset)
-            to_given[t] = np.concatenate([d_keep, d_reset, d_new], axis=1)
-            gates = np.concatenate([d_keep, d_reset, d_new * reset], axis=1)
+            d = down[t]
+            d += later
+            not_keep = 1 - keep
+            to_keep, to_reset, to_new = (to_given[t][:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
+            # d_new = d * (1 - keep) * (1 - new * new)
+            d_new = d * not_keep
+            np.multiply(new, new, out=rest)
+            np.subtract(1, rest, out=rest)
+            d_new *= rest
+            to_new[...] = d_new
+            # d_keep = d * (past - new) * keep * (1 - keep)
+            np.subtract(past[t], new, out=rest)
+            rest *= d
+            rest *= keep
+            np.multiply(rest, not_keep, out=to_keep)
+            # d_reset = d_new * back * reset * (1 - reset)
+            np.multiply(d_new, back, out=rest)
+            rest *= reset
+            np.subtract(1, reset, out=not_keep)
+            np.multiply(rest, not_keep, out=to_reset)
+            gates[...] = to_given[t]
+            np.multiply(d_new, reset, out=gates[:, 2 * HIDDEN :])
             g["again"][...] += past[t].T @ gates
-            later = np.where(first[t][:, None], 0, d * keep + gates @ self.again.T)
+            np.multiply(d, keep, out=later)
+            later += gates @ self.again.T
+            later[begun[t]] = 0
         flat_given, flat_symbols = to_given.reshape(-1, 3 * HIDDEN), symbols.ravel()
-        order = np.argsort(flat_symbols, kind="stable")
+        order = np.argsort(flat_symbols.astype(np.uint16), kind="stable")
         edges = np.flatnonzero(np.diff(flat_symbols[order], prepend=-1))
         rows = flat_symbols[order][edges]
-        by_symbol = np.add.reduceat(flat_given[order], edges, axis=0)
+        by_symbol = _sums_by_symbol(flat_given[order], edges)
         g["bias"][...] = flat_given.sum(axis=0)
         g["into"][...] = self.embed[rows].T @ by_symbol
         g["embed"][rows] = by_symbol @ self.into.T
         return grad, state
 
 
+def _by_class(own: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The tokens of front classes by class, and where each class begins among them."""
+    front = np.flatnonzero(within >= 0)
+    order = front[np.argsort(own[front].astype(np.uint8), kind="stable")]
+    return order, np.concatenate([[0], np.cumsum(np.bincount(own[front], minlength=_TOPS)[:_TOPS])]).tolist()
+
+
 # ---------------------------------------------------------------- training
 
 
 def train_on(net: Network, reader: Reader, texts: Iterator[list[bytes]], rate: float, lanes: int = 64, window: int = 20, widest: int = 256) -> int:
     """Adam steps over windows of ``lanes`` parallel streams, more for long groups, so that a token costs less; returns the tokens used."""
-    mean, square, done, used = np.zeros(net.size, np.float32), np.zeros(net.size, np.float32), 0, 0
+    mean, square, work, done, used = *np.zeros((2, net.size), np.float32), np.empty(net.size, np.float32), 0, 0
     for group in texts:
         _, ranks, n = reader.ranks(group)
         own, within, symbols = reader.targets(ranks)
@@ -311,12 +414,26 @@ def train_on(net: Network, reader: Reader, texts: Iterator[list[bytes]], rate: f
         for at in range(0, length, window):
             part = slice(at, at + window)
             grad, state = net.slopes(before[part], first[part], own[part], within[part], state)
-            size = float(np.sqrt((grad * grad).sum()))
+            np.multiply(grad, grad, out=work)
+            size = float(np.sqrt(work.sum()))
             grad *= min(1.0, 1.0 / (size + 1e-9))
             done += 1
-            mean += 0.1 * (grad - mean)
-            square += 0.01 * (grad * grad - square)
-            net.vector -= rate * (mean / (1 - 0.9**done)) / (np.sqrt(square / (1 - 0.99**done)) + 1e-8)
+            # mean += 0.1 * (grad - mean), square += 0.01 * (grad * grad - square)
+            np.multiply(grad, grad, out=work)
+            work -= square
+            work *= 0.01
+            square += work
+            grad -= mean
+            grad *= 0.1
+            mean += grad
+            # vector -= rate * (mean / (1 - 0.9**done)) / (sqrt(square / (1 - 0.99**done)) + 1e-8)
+            np.divide(square, 1 - 0.99**done, out=work)
+            np.sqrt(work, out=work)
+            work += 1e-8
+            np.divide(mean, 1 - 0.9**done, out=grad)
+            grad *= rate
+            grad /= work
+            net.vector -= grad
         used += wide * length
     return used
 
@@ -403,17 +520,17 @@ def log_likelihoods(net: Network, reader: Reader, ranks: np.ndarray, n: np.ndarr
     is_first = np.zeros(len(ranks), bool)
     is_first[starts] = True
     found = np.zeros(len(ranks), np.float32)
-    given, state = net.inputs(), np.zeros((lanes, HIDDEN), np.float32)
+    given, again, state = net.by_gate(net.inputs()), net.by_gate(net.again), np.zeros((lanes, HIDDEN), np.float32)
+    longer = np.searchsorted(-load, -np.arange(length)).tolist()  # lanes longer than t
     for at in range(0, length, window):
         states, which = [], []
         for t in range(at, min(at + window, length)):
-            active = int(np.searchsorted(-load, -t))  # lanes longer than t
-            row = tokens[t, :active]
-            state = state[:active]
+            row = tokens[t, : longer[t]]
+            state = state[: longer[t]]
             fresh = is_first[row]
             if fresh.any():
                 state = np.where(fresh[:, None], np.float32(0), state)
-            state, _ = net.step(given[before[row]], state)
+            state, _ = net.advance(np.take(given, before[row], axis=1), state, again)
             states.append(state)
             which.append(row)
         row = np.concatenate(which)
