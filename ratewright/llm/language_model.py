@@ -48,6 +48,8 @@ TAIL = CLASSES - 1
 #: Input symbols: front words, then classes of the others, then the beginning of a text.
 SYMBOLS = FRONT + _BANDS + 2
 _BEGIN = SYMBOLS - 1
+#: Leading bits of a hash by which head words are looked up.
+_BITS = 18
 #: Rows whose class shares are worked out at once, so that they stay in the cache.
 _ROWS = 4000
 
@@ -132,15 +134,26 @@ class Reader:
     def __init__(self, lex: Lexicon):
         self.lex = lex
         self.own, self.within, self.share = lex.classes()
+        self.words = np.append(lex.words, ~np.uint64(0))
+        self.begins = np.searchsorted(lex.words, np.arange(1 << _BITS, dtype=np.uint64) << np.uint64(64 - _BITS))
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """``np.searchsorted`` among the words; hashes are spread evenly, so their first bits say nearly where they stand."""
+        place = self.begins[hashes >> np.uint64(64 - _BITS)]
+        short = np.flatnonzero(self.words[place] < hashes)
+        while len(short):
+            place[short] += 1
+            short = short[self.words[place[short]] < hashes[short]]
+        return place
 
     def ranks(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes and ranks of the tokens of all texts, and the number of tokens of each."""
         hashes, n = hashed_words(texts)
         ends = np.cumsum(n)
         hashes = np.insert(hashes, ends, END)
-        place = np.minimum(np.searchsorted(self.lex.words, hashes), max(0, len(self.lex.words) - 1))
         if not len(self.lex.words):
             return hashes, np.full(len(hashes), -1), n + 1
+        place = np.minimum(self.places(hashes), len(self.lex.words) - 1)
         return hashes, np.where(self.lex.words[place] == hashes, self.lex.ranks[place], -1), n + 1
 
     def targets(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -345,7 +358,7 @@ class Network:
         down = down.reshape(steps, lanes, HIDDEN)
         to_given = np.empty((steps, lanes, 3 * HIDDEN), kind)
         gates = np.empty((lanes, 3 * HIDDEN), kind)
-        later = np.zeros((lanes, HIDDEN), kind)
+        from_gates, later = np.ascontiguousarray(self.again.T), np.zeros((lanes, HIDDEN), kind)
         rest = np.empty((lanes, HIDDEN), kind)
         for t in range(steps - 1, -1, -1):
             keep, reset, back, new = saved[t]
@@ -373,7 +386,7 @@ class Network:
             np.multiply(d_new, reset, out=gates[:, 2 * HIDDEN :])
             g["again"][...] += past[t].T @ gates
             np.multiply(d, keep, out=later)
-            later += gates @ self.again.T
+            later += gates @ from_gates
             later[begun[t]] = 0
         flat_given, flat_symbols = to_given.reshape(-1, 3 * HIDDEN), symbols.ravel()
         order = np.argsort(flat_symbols.astype(np.uint16), kind="stable")
@@ -523,17 +536,18 @@ def log_likelihoods(net: Network, reader: Reader, ranks: np.ndarray, n: np.ndarr
     given, again, state = net.by_gate(net.inputs()), net.by_gate(net.again), np.zeros((lanes, HIDDEN), np.float32)
     longer = np.searchsorted(-load, -np.arange(length)).tolist()  # lanes longer than t
     for at in range(0, length, window):
-        states, which = [], []
-        for t in range(at, min(at + window, length)):
-            row = tokens[t, : longer[t]]
-            state = state[: longer[t]]
-            fresh = is_first[row]
-            if fresh.any():
-                state = np.where(fresh[:, None], np.float32(0), state)
-            state, _ = net.advance(np.take(given, before[row], axis=1), state, again)
+        part = tokens[at : at + window, : longer[at]]
+        inputs, states = before[part], []
+        fresh = [np.flatnonzero(row) for row in is_first[part]]
+        for t in range(len(part)):
+            active = longer[at + t]
+            state = state[:active]
+            if len(fresh[t]):
+                state = state.copy()
+                state[fresh[t][: np.searchsorted(fresh[t], active)]] = 0
+            state, _ = net.advance(np.take(given, inputs[t, :active], axis=1), state, again)
             states.append(state)
-            which.append(row)
-        row = np.concatenate(which)
+        row = part[part >= 0]
         found[row] = net.log_shares(np.concatenate(states), own[row], within[row])
     return np.add.reduceat(found.astype(float), starts)
 

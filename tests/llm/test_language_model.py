@@ -251,3 +251,13 @@ def test_sums_by_symbol():
         rows = pick.normal(0, 1, (sum(sizes), 5)).astype(np.float32)
         starts = np.cumsum([0, *sizes[:-1]])
         assert np.array_equal(L._sums_by_symbol(rows, starts), np.add.reduceat(rows, starts, axis=0))
+
+
+def test_places_of_hashes():
+    """Words near one another and at both ends of the range."""
+    pick = np.random.default_rng(11)
+    edge = np.array([0, 1, 2, 0x454E44, 2**64 - 2, 2**64 - 1], np.uint64)
+    for words in (np.unique(np.concatenate([pick.integers(0, 2**64, 5000, np.uint64), edge])), edge[:1], edge[-1:], edge[1:4]):
+        reader = L.Reader(L.Lexicon(words, np.arange(len(words)), np.full(len(words), 2), 9, len(words), 1.0, 0.5, 1.0))
+        asked = np.concatenate([words, edge, pick.integers(0, 2**64, 1000, np.uint64)])
+        assert np.array_equal(reader.places(asked), np.searchsorted(words, asked))
