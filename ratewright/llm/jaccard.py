@@ -7,8 +7,9 @@
    share at least k members with those of any partner. An n-gram that stands in one set only cannot be shared, so
    sets with too few shared members there have no partner and go.
 2. *Far regions.* What is left is cut into parts by hash. Linked sets differ in at most D members, so of more than D parts
-   one is equal. Sets with an equal part are chained into regions; no link leaves a region.
-3. *Pivots.* A region that is too large for a task gets pivots. Every set's distance from them is exact, which links sets
+   one is equal. Sets with an equal part are chained into regions; no link leaves a region. A common passage chains many sets,
+   so a region that is too large for a task is chained again, by those members of each set that are rarest in the region.
+3. *Pivots.* A region that this leaves nearly whole and too large gets pivots. Every set's distance from them is exact, which links sets
    to pivots; the nearest pivot gives the set's Voronoi cell, and since ``d(x, q) - d(x, p) <= 2 * reach`` holds
    for a partner in the cell of q, sets inside that window are copied to q's cell too. Sets that are linked with
    the pivots need no test among each other; of these only those stay whose distances lie within ``reach`` of the range of the others'.
@@ -288,6 +289,48 @@ def tree_of(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[tupl
     return found
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each member of each set; members are told apart by region."""
+    for whole in batches:
+        for batch in slices(whole, "members", READ_BYTES):
+            sets = [np.frombuffer(m, np.uint64) for m in column(batch, "members")]
+            place = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            region = mix(_column(batch, "region").to_numpy().view(np.uint64) + _ODD[5])[place]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(mix(np.concatenate(sets) ^ region).view(np.int64)), *(_column(batch, n).take(pa.array(place)) for n in ("vertex", "size"))],
+                names=["key", "vertex", "size"],
+            )
+
+
+def _rare_chains(large: DataFrame, percent: int) -> DataFrame:
+    """``region, before, node, size, members``: regions of sets that are chained by members which few sets of their region have.
+
+    With the members of a region's sets in one order, of a set of n the first ``n - ceil(percent * n / 100) + 1`` hold one that is
+    among the first of any partner. The order is from rare to frequent within the region, so that a passage which many sets have comes
+    last. Members of one set only are its first; a set whose first ones are all of this kind has no partner and goes.
+    """
+    placed = checked(large.withColumn("vertex", F.xxhash64("region", "node")), "jaccard-placed")
+    rows = checked(map_arrow(placed.select("region", "vertex", "size", "members"), _members, "key long, vertex long, size int"), "jaccard-members")
+    times = checked(rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1"), "jaccard-times")
+    shared = restricted(rows, "key", times.select("key")).join(times, "key")
+    ordered = shared.groupBy("vertex", "size").agg(F.array_sort(F.collect_list(F.struct("times", "key"))).alias("shared"))
+    size = F.col("size")
+    first = F.size("shared") - F.ceil(F.lit(percent) * size / 100) + 1
+    front = ordered.withColumn("first", first.cast("int")).where("first > 0")
+    front = checked(front.select("vertex", F.explode(F.slice("shared.key", F.lit(1), F.col("first"))).alias("key")), "jaccard-rare")
+    discard(rows, times)
+    centres = front.groupBy("key").agg(F.min("vertex").alias("a"), F.max("vertex").alias("last")).where("a < last").select("key", "a")
+    links = front.join(centres, "key").select("a", F.col("vertex").alias("b")).where("a <> b").distinct()
+    roots = checked(components(links, "jaccard-chains"), "jaccard-chained")
+    discard(front)
+    found = placed.join(small_side(roots), placed["vertex"] == roots["node"]).select(
+        F.xxhash64("region", "root").alias("region"), F.col("region").alias("before"), placed["node"], "size", "members"
+    )
+    found = checked(found, "jaccard-divided")
+    discard(placed)
+    return found
+
+
 def _small_regions(percent: int):
     def run(table: pa.Table) -> pa.Table:
         first = dict(zip(table["node"].to_pylist(), table["members"].to_pylist(), strict=True))
@@ -433,11 +476,23 @@ def region_links(regions: DataFrame, percent: int) -> DataFrame:
         # So few regions that their ids, once measured, go to all tasks, and no set is moved.
         over = small_side(sizes.where(~_is_small()).select("region"))
         large = regions.join(over, "region", "left_semi")
-        large = checked(large, "jaccard-large")
+        divided = _rare_chains(large, percent)
+        # A region that is left nearly whole: its sets share more than passages.
+        had = sizes.select(F.col("region").alias("before"), F.col("sets").alias("had"))
+        after = _sizes(divided).join(divided.select("region", "before").distinct(), "region").join(had, "before")
+        dense = checked(after.where(~_is_small() & (F.col("sets") > 0.8 * F.col("had"))).select("region", "sets"), "jaccard-dense")
+        divided = divided.drop("before")
+        if not dense.head(1):
+            regions = divided
+            number += 1
+            continue
+        over = small_side(dense.select("region"))
+        large = checked(divided.join(over, "region", "left_semi"), "jaccard-large")
+        apart = divided.join(over, "region", "left_anti")
         links, cells = _pivot_round(large, percent, number)
         found.append(links)
         # A cell nearly as large as its region: pivots do not tell its sets apart.
-        had = sizes.select(F.col("region").alias("before"), F.col("sets").alias("had"))
+        had = dense.select(F.col("region").alias("before"), F.col("sets").alias("had"))
         after = _sizes(cells).join(cells.select("region", "before").distinct(), "region").join(had, "before")
         stuck = after.where(~_is_small() & (F.col("sets") > 0.8 * F.col("had"))).select("before").distinct()
         stuck = checked(stuck, "jaccard-stuck")
@@ -448,7 +503,7 @@ def region_links(regions: DataFrame, percent: int) -> DataFrame:
             whole = large.join(small_side(stuck.select(F.col("before").alias("region"))), "region", "left_semi")
             shells = checked(_shells(whole, percent), "jaccard-shells")
             again = again.unionByName(_blocks(shells, _sizes(shells)))
-        regions = checked(again, "jaccard-regions")
+        regions = checked(again.unionByName(apart), "jaccard-regions")
         number += 1
     links = found[0]
     for more in found[1:]:

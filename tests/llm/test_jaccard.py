@@ -142,3 +142,23 @@ def test_regions_and_trees_are_told_by_different_stages(spark):
     regions = spark.createDataFrame(rows, "region long, node long, size int, members binary")
     plan = J.region_links(regions, 80)._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapGroupsInArrow" not in plan
+
+
+def test_a_common_passage_keeps_no_region_whole(spark, monkeypatch):
+    """Sets that share a passage and nothing else are told apart before pairs are compared, and links among them are found."""
+    monkeypatch.setattr(J, "REGION_SETS", 8)
+
+    def blocks(*_):
+        raise AssertionError("all pairs of a region are compared")
+
+    monkeypatch.setattr(J, "_blocks", blocks)
+    passage = np.arange(20)
+    sets = [np.union1d(passage, 1000 * (k + 1) + np.arange(30)) for k in range(40)]
+    sets += [np.union1d(sets[k][:-2], [900_000 + k]) for k in range(0, 40, 4)]
+    sets += [passage, np.union1d(passage, [7777])]
+    rows = [(1, k, len(s), s.astype(np.uint64).tobytes()) for k, s in enumerate(sets)]
+    regions = spark.createDataFrame(rows, "region long, node long, size int, members binary")
+    found = {tuple(sorted(r)) for r in J.region_links(regions, 80).collect()}
+    pairs = [(a, b) for b in range(len(sets)) for a in range(b)]
+    assert found == {(a, b) for a, b in pairs if J.linked(J.common(sets[a], sets[b]), len(sets[a]), len(sets[b]), 80)}
+    assert len(found) == 11
