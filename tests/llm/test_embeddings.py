@@ -96,3 +96,39 @@ def test_recall_at_the_threshold():
 def test_few(spark, rows):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert [tuple(r) for r in M.link_vectors(frame).collect()] == [(i, 0, i, True) for i, _ in rows]
+
+
+def test_no_table_holds_a_vector_once_for_each_cell(spark, monkeypatch):
+    """What is written of the vectors does not grow with the number of cells that a query visits."""
+    import os
+
+    written = {}
+    checked = M.checked
+
+    def measured(df, label):
+        table = checked(df, label)
+        written[label] = sum(os.path.getsize(f.removeprefix("file:").replace("//", "/")) for f in table.inputFiles())
+        return table
+
+    monkeypatch.setattr(M, "checked", measured)
+    vectors = np.random.default_rng(8).normal(size=(2000, 32)).astype(np.float32)
+    rows = [(k, v.astype(float).tolist()) for k, v in enumerate(vectors)]
+    M.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).count()
+    assert len(written) > 4 and max(written.values()) <= 2 * vectors.nbytes
+
+
+def test_reach_is_the_sum_of_the_last_visited_cell():
+    pick = np.random.default_rng(5)
+    index = M.MultiIndex(pick.normal(size=(9, 8)), pick.normal(size=(7, 8)), 20)
+    asked = M.unit(pick.normal(size=(50, 16)))
+    one, two = index.whole_distances(asked)
+    cells, reaches = index.filed(asked)
+    sums = (one[:, :, None] + two[:, None, :]).reshape(50, -1)
+    assert cells.tolist() == index.cells(asked).tolist()
+    assert ((sums <= reaches[:, None]).sum(axis=1) == 20).all()
+    assert [set(np.flatnonzero(s <= r)) for s, r in zip(sums, reaches, strict=True)] == [set(v) for v in index.visited(asked).tolist()]
+
+
+def test_first_codewords_are_placed_in_packs():
+    places = M.placed_routes({3: 5, 0: 4, 1: 2, 2: 25, 7: 10, 8: 1}, 10)
+    assert places == {0: (0, 1), 1: (0, 1), 2: (1, 3), 3: (4, 1), 7: (5, 1), 8: (6, 1)}
